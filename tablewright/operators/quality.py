@@ -26,9 +26,9 @@ def check_non_empty(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count("*").alias("n")).select(*_result(name, "non_empty", F.col("n") > 0, F.col("n"), " rows"))
 
 
-def check_unique(df: DataFrame, name: str) -> DataFrame:
-    """No two rows are equal."""
-    return row_counts(df).select(
+def check_unique(df: DataFrame, name: str, key: Sequence[str] = ()) -> DataFrame:
+    """No two rows are equal. Name a ``key`` that is meant to be unique to compare whole rows only where it repeats."""
+    return row_counts(df, key).select(
         *_result(name, "unique_rows", F.col("n") == F.col("n_distinct"), F.col("n"), " rows, ", F.col("n_distinct"), " distinct")
     )
 
@@ -87,25 +87,25 @@ def run_checks(
     spark: SparkSession,
     base: str,
     tables: Sequence[str],
-    checks: Mapping[str, Callable[[DataFrame, str], DataFrame]] | None = None,
     keys: Mapping[str, Sequence[str]] | None = None,
     not_null: Mapping[str, Sequence[str]] | None = None,
+    extra: Sequence[Callable[[DataFrame, str], DataFrame]] = (),
 ) -> DataFrame:
     """Check written tables ``base/<table>`` and report one row per check.
 
-    By default each table must be non-empty and without repeated rows; ``checks`` replaces these two.
+    Each table must be non-empty and without repeated rows; ``extra`` checks are run on each as well.
     ``keys`` and ``not_null`` add key checks for the tables they name.
     """
-    if checks is None:
-        checks = {"non_empty": check_non_empty, "unique_rows": check_unique}
     results = []
     for table in tables:
         df = spark.read.parquet(f"{base.rstrip('/')}/{table}")
-        results += [check(df, table) for check in checks.values()]
+        key = list((keys or {}).get(table, ()))
+        results += [check_non_empty(df, table), check_unique(df, table, key)]
         if not_null and not_null.get(table):
             results.append(check_not_null(df, not_null[table], table))
-        if keys and keys.get(table):
-            results.append(check_key(df, keys[table], table))
+        if key:
+            results.append(check_key(df, key, table))
+        results += [check(df, table) for check in extra]
     return reduce(DataFrame.unionAll, results)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,23 @@ def roll_up(df: DataFrame, keys: Sequence[str], averages: Sequence[str] = (), su
     return rolled.select(*[c for c in df.columns if c in aggregates or c in keys])
 
 
-def row_counts(df: DataFrame) -> DataFrame:
-    """One row: ``n`` rows and ``n_distinct`` different rows, both from a single grouping."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    return groups.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count("*").alias("n_distinct"))
+def row_counts(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """One row: ``n`` rows and ``n_distinct`` different rows.
+
+    Without ``key`` a single grouping over all columns, which shuffles whole rows. A ``key`` that
+    hardly ever repeats makes that cheap: rows with a key of their own differ from all others, so
+    only the keys are grouped and only rows of repeated keys are compared as a whole.
+    """
+    copies = F.count("*").alias("_copies")
+    if not key:
+        groups = df.groupBy(*df.columns).agg(copies)
+        return groups.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count("*").alias("n_distinct"))
+    keys = df.groupBy(*key).agg(copies)
+    alone = keys.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count_if(F.col("_copies") == 1).alias("n_distinct")
+    )
+    repeated = keys.filter(F.col("_copies") > 1).alias("k")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.`{c}`").eqNullSafe(F.col(f"k.`{c}`")) for c in key])
+    compared = df.alias("d").join(repeated, same, "left_semi").groupBy(*df.columns).agg(copies)
+    parts = alone.unionAll(compared.agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("n_distinct")))
+    return parts.agg(F.sum("n").alias("n"), F.sum("n_distinct").alias("n_distinct"))

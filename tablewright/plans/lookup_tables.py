@@ -32,7 +32,13 @@ def lookup_tables(
     }
 
 
-def build_lookups(spark: SparkSession, csv_dir: str, out: str, order: Sequence[str] = ORDER) -> dict[str, DataFrame]:
+def build_lookups(
+    spark: SparkSession,
+    csv_dir: str,
+    out: str,
+    order: Sequence[str] = ORDER,
+    only: Sequence[str] = tuple(LOOKUP_KEYS),
+) -> dict[str, DataFrame]:
     """Read a folder of event CSVs, write the consolidated CSV and the lookup tables, return the tables.
 
     The consolidated rows are kept as Parquet too, so the CSV is parsed once and each table reads
@@ -41,10 +47,11 @@ def build_lookups(spark: SparkSession, csv_dir: str, out: str, order: Sequence[s
     out = out.rstrip("/")
     events = stash(consolidate(read_csv(spark, csv_dir, schemas.EVENT_CSV)), "events", f"{out}/consolidated")
     write_csv(events, f"{out}/consolidated_csv", quote_all=True)
-    for name, df in lookup_tables(events, order).items():
+    tables = lookup_tables(events, order)
+    for name in only:
         place, sort = LOOKUP_KEYS[name]
-        write_table(df, f"{out}/{name}", cluster_by=place, sort_by=sort)
-    return {name: read_parquet(spark, f"{out}/{name}") for name in LOOKUP_KEYS}
+        write_table(tables[name], f"{out}/{name}", cluster_by=place, sort_by=sort)
+    return {name: read_parquet(spark, f"{out}/{name}") for name in only}
 
 
 def song_of_item(music: DataFrame, session_id: int, item: int) -> DataFrame:

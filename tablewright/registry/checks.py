@@ -149,3 +149,12 @@ def dq_key_summary(spark, sf_dir):
 )
 def dq_unique_summary(spark, sf_dir):
     return check_unique(table(spark, sf_dir, "events"), "events")
+
+
+@query(
+    "dq_unique_keyed",
+    "SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_distinct",
+)
+def dq_unique_keyed(spark, sf_dir):
+    """Whole rows are compared only where the key repeats."""
+    return row_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright import schemas
+from tablewright.operators import concat_rows
 from tablewright.plans import build_lake, lake_tables
 from tablewright.plans.lake import I94, RESIDENT, VISAS, records_at_airports, records_in_states
 from tablewright.registry.base import query
@@ -17,7 +18,7 @@ from tablewright.registry.derived import (
     demographics,
 )
 from tablewright.sources import read_csv, write_csv
-from tablewright.storage import scratch_path
+from tablewright.storage import scratch_path, stash
 
 BASE = f"WITH rec AS ({ARRIVALS_SQL}), dem AS ({DEMOGRAPHICS_SQL}), air AS ({AIRPORTS_SQL})"
 FILED = "TRY_STRPTIME(dtadfile, '%Y%m%d')::DATE"
@@ -78,23 +79,22 @@ for _name in TABLES:
     f"{BASE} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM ({sql})" for n, sql in TABLES.items()),
 )
 def lake_built(spark, sf_dir):
-    """Demographics and airports pass through delimited files, then all seven tables are written and checked."""
+    """Records come as Parquet, the rest as delimited files; then all seven tables are written and checked."""
     out = scratch_path(spark, "lake")
     demographics(spark, sf_dir).write.option("sep", ";").option("header", True).csv(f"{out}/raw/demographics")
     write_csv(airports(spark, sf_dir), f"{out}/raw/airports")
     build_lake(
         spark,
-        arrivals(spark, sf_dir),
+        stash(arrivals(spark, sf_dir), "records", f"{out}/raw/records"),
         read_csv(spark, f"{out}/raw/demographics", schemas.DEMOGRAPHICS, sep=";"),
         read_csv(spark, f"{out}/raw/airports", schemas.AIRPORTS),
         out,
     )
-    counts = None
-    for name in TABLES:
-        row = spark.read.parquet(f"{out}/{name}").agg(F.count("*").alias("cnt"))
-        row = row.select(F.lit(name).alias("table_name"), "cnt")
-        counts = row if counts is None else counts.union(row)
-    return counts
+    counts = [
+        spark.read.parquet(f"{out}/{name}").agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
+        for name in TABLES
+    ]
+    return concat_rows(*counts)
 
 
 @query(

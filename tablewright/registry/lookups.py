@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright import schemas
-from tablewright.operators import filter_equal
+from tablewright.operators import concat_rows, filter_equal
 from tablewright.plans import build_lookups
 from tablewright.plans.lookup_tables import song_of_item, songs_of_session, users_of_song
 from tablewright.registry.base import query, table
@@ -77,18 +77,18 @@ def _lookup_sql(name: str) -> str:
     """
 
 
-def _built(spark, sf_dir):
+def _built(spark, sf_dir, only=tuple(PLAIN)):
     """Plays as a folder of CSV files, then consolidated and loaded into the lookup tables."""
     raw = scratch_path(spark, "event-csv")
     plays = event_log(spark, sf_dir).filter((F.col("page") == "NextSong") & (F.col("userId") != ""))
     write_csv(plays.select(*[F.col(f.name).cast(f.dataType) for f in schemas.EVENT_CSV.fields]), raw)
-    return build_lookups(spark, raw, scratch_path(spark, "lookups"), ORDER)
+    return build_lookups(spark, raw, scratch_path(spark, "lookups"), ORDER, only)
 
 
 def _register(name: str) -> None:
     @query(f"lookups_{name}", _lookup_sql(name))
     def run(spark, sf_dir):
-        return _built(spark, sf_dir)[name]
+        return _built(spark, sf_dir, [name])[name]
 
 
 for _name in PLAIN:
@@ -100,7 +100,7 @@ for _name in PLAIN:
     f"SELECT artist_name, song_title, song_length FROM ({_lookup_sql('music_history')}) WHERE sessionId=7 AND itemInSession=1",
 )
 def lookups_song_of_item(spark, sf_dir):
-    return song_of_item(_built(spark, sf_dir)["music_history"], 7, 1)
+    return song_of_item(_built(spark, sf_dir, ["music_history"])["music_history"], 7, 1)
 
 
 @query(
@@ -109,7 +109,7 @@ def lookups_song_of_item(spark, sf_dir):
     "WHERE userId=899 AND sessionId=0 ORDER BY itemInSession",
 )
 def lookups_songs_of_session(spark, sf_dir):
-    return songs_of_session(_built(spark, sf_dir)["user_history"], 899, 0)
+    return songs_of_session(_built(spark, sf_dir, ["user_history"])["user_history"], 899, 0)
 
 
 @query(
@@ -117,4 +117,19 @@ def lookups_songs_of_session(spark, sf_dir):
     f"SELECT firstName, lastName FROM ({_lookup_sql('song_playlist_session')}) WHERE song_title='small ring ECONOMY'",
 )
 def lookups_users_of_song(spark, sf_dir):
-    return users_of_song(_built(spark, sf_dir)["song_playlist_session"], "small ring ECONOMY")
+    return users_of_song(_built(spark, sf_dir, ["song_playlist_session"])["song_playlist_session"], "small ring ECONOMY")
+
+
+@query(
+    "lookups_built",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS cnt FROM ({_lookup_sql(name)})" for name in PLAIN
+    ),
+)
+def lookups_built(spark, sf_dir):
+    """All three tables from one consolidation."""
+    counts = [
+        df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
+        for name, df in _built(spark, sf_dir).items()
+    ]
+    return concat_rows(*counts)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.operators import concat_rows
 from tablewright.plans import PROFILES, build_star, star_tables
 from tablewright.registry.base import query
 from tablewright.registry.derived import CATALOGUE_SQL, EVENT_SQL, catalogue, event_log
@@ -163,12 +164,11 @@ def _register_built(profile: str) -> None:
             event_order=EVENT_ORDER,
             catalogue_order=CATALOGUE_ORDER,
         )
-        counts = None
+        counts = []
         for name in STAR_COLUMNS:
             rows = spark.read.parquet(f"{out}/{name}").agg(F.count("*").alias("cnt"))
-            row = rows.select(F.lit(profile).alias("profile"), F.lit(name).alias("table_name"), "cnt")
-            counts = row if counts is None else counts.union(row)
-        return counts
+            counts.append(rows.select(F.lit(profile).alias("profile"), F.lit(name).alias("table_name"), "cnt"))
+        return concat_rows(*counts)
 
 
 for _profile in PROFILES:

@@ -1,0 +1,60 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright.operators import monotonic_key, sequence_key
+
+
+def ids(df, name="id"):
+    return [r[0] for r in df.select(name).orderBy(name).collect()]
+
+
+@pytest.mark.parametrize("start", [0, 1, 500])
+def test_unordered_sequence_has_no_gap(spark, start):
+    df = spark.range(0, 1003, 1, 7).withColumnRenamed("id", "v")
+    found = sequence_key(df, "id", start)
+    assert found.columns == ["id", "v"]
+    assert ids(found) == list(range(start, start + 1003))
+    assert found.select("v").distinct().count() == 1003
+
+
+def test_ordered_sequence_follows_the_order(spark):
+    df = spark.range(0, 5000, 1, 6).select((F.col("id") * 7919 % 5003).alias("v"))
+    found = sequence_key(df, "id", 1, ["v"], order_is_unique=True).orderBy("id").collect()
+    assert [r.id for r in found] == list(range(1, 5001))
+    assert [r.v for r in found] == sorted(r.v for r in found)
+
+
+def test_ties_and_copies_are_numbered_and_spread(spark, tmp_path):
+    """Two thirds of the rows are equal copies."""
+    df = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(5).alias("v"))
+    # the rows are too few to fill several partitions of the usual size
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sequence_key(df, "id", 0, ["v"], path=str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ids(found) == list(range(9000))
+    out = found.orderBy("id").collect()
+    assert [r.v for r in out] == sorted(r.v for r in out)
+    placed = spark.read.parquet(f"{tmp_path}/placed")
+    assert placed.filter("v = 5").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_null_order_values_come_first(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
+    assert [r.v for r in sequence_key(df, "id", 0, ["v"]).orderBy("id").collect()] == [None, "a", "b"]
+
+
+def test_empty_input(spark):
+    assert sequence_key(spark.range(0).toDF("v"), "id").count() == 0
+    assert sequence_key(spark.range(0).toDF("v"), "id", 0, ["v"]).count() == 0
+
+
+def test_numbers_do_not_change_when_read_again(spark):
+    found = sequence_key(spark.range(100).select(F.rand().alias("v")), "id", 0, ["v"])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_monotonic_ids_are_unique(spark):
+    df = monotonic_key(spark.range(0, 1000, 1, 5).toDF("v"), "id")
+    assert df.select("id").distinct().count() == 1000
