@@ -89,12 +89,13 @@ def run_checks(
     tables: Sequence[str],
     keys: Mapping[str, Sequence[str]] | None = None,
     not_null: Mapping[str, Sequence[str]] | None = None,
+    limits: Mapping[str, Mapping[str, int]] | None = None,
     extra: Sequence[Callable[[DataFrame, str], DataFrame]] = (),
 ) -> DataFrame:
     """Check written tables ``base/<table>`` and report one row per check.
 
     Each table must be non-empty and without repeated rows; ``extra`` checks are run on each as well.
-    ``keys`` and ``not_null`` add key checks for the tables they name.
+    ``keys``, ``not_null`` and ``limits`` (text lengths) add checks for the tables they name.
     """
     results = []
     for table in tables:
@@ -105,6 +106,8 @@ def run_checks(
             results.append(check_not_null(df, not_null[table], table))
         if key:
             results.append(check_key(df, key, table))
+        if limits and limits.get(table):
+            results.append(check_length(df, limits[table], table))
         results += [check(df, table) for check in extra]
     return reduce(DataFrame.unionAll, results)
 

@@ -2,7 +2,7 @@
 
 from tablewright.plans.lake import build_lake, lake_tables
 from tablewright.plans.lookup_tables import build_lookups, consolidate, lookup_tables
-from tablewright.plans.star import PROFILES, StarProfile, build_star, star_tables
+from tablewright.plans.star import PROFILES, StarProfile, build_star, check_star, star_tables
 
 __all__ = [
     "PROFILES",
@@ -10,6 +10,7 @@ __all__ = [
     "build_lake",
     "build_lookups",
     "build_star",
+    "check_star",
     "consolidate",
     "lake_tables",
     "lookup_tables",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import item_of_split, parse_date
 from tablewright.operators import calendar_union, dim_distinct, raise_on_failure, roll_up, run_checks
 from tablewright.sources import write_table
+from tablewright.storage import run_together
 
 # Columns of the target tables and the date patterns of the records.
 RESIDENT = ["admnum", "i94bir", "occup", "biryear", "gender"]
@@ -65,8 +68,13 @@ def build_lake(
 ) -> DataFrame:
     """Write the seven tables below ``out`` and return the check report for all of them."""
     tables = lake_tables(records, demographics, airports)
-    for name, df in tables.items():
-        write_table(df, f"{out.rstrip('/')}/{name}", PARTITIONS.get(name, ()))
+    run_together(
+        spark,
+        [
+            partial(write_table, df, f"{out.rstrip('/')}/{name}", PARTITIONS.get(name, ()))
+            for name, df in tables.items()
+        ],
+    )
     report = run_checks(spark, out, list(tables))
     if check:
         raise_on_failure(report)

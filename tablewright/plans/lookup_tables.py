@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tablewright import schemas
 from tablewright.operators import filter_filled, music_history, song_playlist_session, user_history
 from tablewright.operators.lookups import LOOKUP_KEYS
 from tablewright.sources import read_csv, read_parquet, write_csv, write_table
-from tablewright.storage import stash
+from tablewright.storage import run_together, stash
 
 ORDER = ("sessionId", "itemInSession")
 
@@ -46,11 +47,12 @@ def build_lookups(
     """
     out = out.rstrip("/")
     events = stash(consolidate(read_csv(spark, csv_dir, schemas.EVENT_CSV)), "events", f"{out}/consolidated")
-    write_csv(events, f"{out}/consolidated_csv", quote_all=True)
     tables = lookup_tables(events, order)
+    jobs = [partial(write_csv, events, f"{out}/consolidated_csv", quote_all=True)]
     for name in only:
         place, sort = LOOKUP_KEYS[name]
-        write_table(tables[name], f"{out}/{name}", cluster_by=place, sort_by=sort)
+        jobs.append(partial(write_table, tables[name], f"{out}/{name}", cluster_by=place, sort_by=sort))
+    run_together(spark, jobs)
     return {name: read_parquet(spark, f"{out}/{name}") for name in only}
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from tablewright.operators import (
     sequence_key,
 )
 from tablewright.sources import write_table
-from tablewright.storage import remove_path, stash
+from tablewright.storage import remove_path, run_together, stash
 
 EVENT_ORDER = ("ts", "sessionId", "itemInSession")
 CATALOGUE_ORDER = ("song_id", "title", "duration")
@@ -342,6 +343,19 @@ def _merge_known(table: str, new: DataFrame, known: DataFrame, profile: StarProf
     return None
 
 
+def check_star(spark: SparkSession, out: str, profile: StarProfile | str, limits: bool = False) -> DataFrame:
+    """Check report of written tables: the declared keys, required columns and, if asked, text lengths."""
+    profile = PROFILES[profile] if isinstance(profile, str) else profile
+    keys, required, lengths = {}, {}, {}
+    for table, columns in schemas.STAR_COLUMNS.items():
+        name = dict(zip(columns, profile.columns[table], strict=True))
+        keys[table] = [name[c] for c in schemas.PRIMARY_KEYS[table]]
+        required[table] = keys[table] + [name[c] for c in schemas.REQUIRED[table]]
+        if limits:
+            lengths[table] = {name[c]: n for c, n in schemas.TEXT_LIMITS.get(table, {}).items()}
+    return run_checks(spark, out, list(schemas.STAR_COLUMNS), keys, required, lengths)
+
+
 def build_star(
     spark: SparkSession,
     events: DataFrame,
@@ -363,8 +377,13 @@ def build_star(
     profile = PROFILES[profile] if isinstance(profile, str) else profile
     out = out.rstrip("/")
     append = profile.load_mode == "append" and not fresh and _exists(spark, f"{out}/songplays")
-    events = stash(events, "staging_events", f"{out}/staging_events")
-    catalogue = stash(catalogue, "staging_songs", f"{out}/staging_songs")
+    events, catalogue = run_together(
+        spark,
+        [
+            partial(stash, events, "staging_events", f"{out}/staging_events"),
+            partial(stash, catalogue, "staging_songs", f"{out}/staging_songs"),
+        ],
+    )
     match_keys = ["song", "artist"]
     hot = hot_keys(events, match_keys + ["length"] * profile.match_length, hot_share) if hot_share else ()
     names = {t: dict(zip(schemas.STAR_COLUMNS[t], profile.columns[t], strict=True)) for t in schemas.STAR_COLUMNS}
@@ -393,7 +412,8 @@ def build_star(
     tables = star_tables(
         events, catalogue, profile, only=["users", "songs", "artists", "time"], fact=written, **options
     )
-    for table, rows in tables.items():
+
+    def load(table: str, rows: DataFrame) -> None:
         merged = None
         if append and table != "time":
             known = spark.read.parquet(f"{out}/{table}").toDF(*rows.columns)
@@ -404,11 +424,12 @@ def build_star(
             # the table is read and replaced, so the result is written aside first
             aside = stash(merged.select(*rows.columns), table, f"{out}/_merged/{table}")
             write(table, aside, "overwrite")
+
+    run_together(spark, [partial(load, table, rows) for table, rows in tables.items()])
     for leftover in (numbering, f"{out}/_merged"):
         remove_path(spark, leftover)
 
-    keys = {table: [profile.columns[table][0]] for table in schemas.STAR_COLUMNS}
-    report = run_checks(spark, out, list(schemas.STAR_COLUMNS), keys=keys, not_null=keys)
+    report = check_star(spark, out, profile)
     if check:
         raise_on_failure(report)
     return report

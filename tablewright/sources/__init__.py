@@ -1,6 +1,6 @@
 """Readers with declared schemas, staging, and table writers."""
 
-from tablewright.sources.readers import dated_path, read_csv, read_json, read_parquet
+from tablewright.sources.readers import dated_path, read_csv, read_json, read_parquet, register_views
 from tablewright.sources.staging import stage
 from tablewright.sources.writers import (
     create_table,
@@ -21,6 +21,7 @@ __all__ = [
     "read_csv",
     "read_json",
     "read_parquet",
+    "register_views",
     "stage",
     "write_bucketed",
     "write_csv",

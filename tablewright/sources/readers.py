@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +43,9 @@ def dated_path(template: str, run_date: date, pad: bool = True) -> str:
     return template.format(
         year=run_date.year, month=f"{run_date.month:0{width}d}", day=f"{run_date.day:0{width}d}"
     )
+
+
+def register_views(spark: SparkSession, base: str, tables: Sequence[str]) -> None:
+    """Make written tables ``base/<table>`` known to SQL under their names."""
+    for table in tables:
+        read_parquet(spark, f"{base.rstrip('/')}/{table}").createOrReplaceTempView(table)

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _own_root: str | None = None
@@ -44,3 +48,10 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it lives on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def run_together(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Submit independent jobs at once, so that one's last tasks do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in running]

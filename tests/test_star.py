@@ -9,9 +9,9 @@ from conftest import EVENTS, rows
 from pyspark.sql import functions as F
 
 from tablewright import schemas
-from tablewright.operators import hot_keys
-from tablewright.plans import PROFILES, build_star, star_tables
-from tablewright.sources import read_json
+from tablewright.operators import check_sql, hot_keys
+from tablewright.plans import PROFILES, build_star, check_star, star_tables
+from tablewright.sources import read_json, register_views
 
 ALL = list(schemas.STAR_COLUMNS)
 
@@ -201,6 +201,21 @@ def test_lake_is_partitioned(spark, events, songs, tmp_path):
     assert sorted(p.name for p in (tmp_path / "songs").glob("year=*")) == ["year=0", "year=1999"]
 
 
+def test_checks_of_written_tables(spark, events, songs, tmp_path):
+    build_star(spark, events, songs, str(tmp_path), "scheduled")
+    report = {(r.table_name, r.check_name): r.passed for r in check_star(spark, str(tmp_path), "scheduled", limits=True).collect()}
+    assert report["songplays", "not_null(playid)"]
+    assert not report["users", "not_null(userid)"]
+    assert not report["songs", "not_null(songid)"]
+    assert report["songs", "not_null(title)"]
+    assert report["users", "length(level<=4)"]
+    register_views(spark, str(tmp_path), ALL)
+    checks = [(f"SELECT count(*) FROM {table} WHERE {profile_key} IS NULL", 0) for table, profile_key in (
+        ("users", "userid"), ("songs", "songid"), ("artists", "artistid"), ("songplays", "playid"), ("time", "start_time"),
+    )]
+    assert [r.passed for r in check_sql(spark, checks).collect()] == [False, False, True, True, True]
+
+
 def test_failed_checks_raise_together(spark, events, songs, tmp_path):
     with pytest.raises(ValueError) as error:
         build_star(spark, events, songs, str(tmp_path), "warehouse", check=True)
