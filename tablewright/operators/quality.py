@@ -33,6 +33,16 @@ def check_unique(df: DataFrame, name: str, key: Sequence[str] = ()) -> DataFrame
     )
 
 
+def _check_keyed(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """``check_unique`` and ``check_key`` from the same grouping."""
+    n, distinct, repeated = F.col("n"), F.col("n_distinct"), F.col("n_repeated")
+    rows = [
+        _result(name, "unique_rows", n == distinct, n, " rows, ", distinct, " distinct"),
+        _result(name, f"unique_key({', '.join(key)})", repeated == 0, repeated, " repeated keys"),
+    ]
+    return row_counts(df, key).select(F.inline(F.array(*[F.struct(*row) for row in rows])))
+
+
 def _one_pass(df: DataFrame, faults: Mapping[str, Column], name: str, noun: str) -> DataFrame:
     """Count the rows each condition holds for, all in one scan, and report one row per condition."""
     counts = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(faults.values())])
@@ -101,11 +111,9 @@ def run_checks(
     for table in tables:
         df = spark.read.parquet(f"{base.rstrip('/')}/{table}")
         key = list((keys or {}).get(table, ()))
-        results += [check_non_empty(df, table), check_unique(df, table, key)]
+        results += [check_non_empty(df, table), _check_keyed(df, key, table) if key else check_unique(df, table)]
         if not_null and not_null.get(table):
             results.append(check_not_null(df, not_null[table], table))
-        if key:
-            results.append(check_key(df, key, table))
         if limits and limits.get(table):
             results.append(check_length(df, limits[table], table))
         results += [check(df, table) for check in extra]

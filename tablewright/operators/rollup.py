@@ -17,22 +17,25 @@ def roll_up(df: DataFrame, keys: Sequence[str], averages: Sequence[str] = (), su
 
 
 def row_counts(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """One row: ``n`` rows and ``n_distinct`` different rows.
+    """One row: ``n`` rows and ``n_distinct`` different rows, with ``key`` also ``n_repeated`` keys held by several.
 
     Without ``key`` a single grouping over all columns, which shuffles whole rows. A ``key`` that
     hardly ever repeats makes that cheap: rows with a key of their own differ from all others, so
     only the keys are grouped and only rows of repeated keys are compared as a whole.
     """
     copies = F.count("*").alias("_copies")
+    total = F.coalesce(F.sum("_copies"), F.lit(0)).alias("n")
     if not key:
-        groups = df.groupBy(*df.columns).agg(copies)
-        return groups.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count("*").alias("n_distinct"))
+        return df.groupBy(*df.columns).agg(copies).agg(total, F.count("*").alias("n_distinct"))
     keys = df.groupBy(*key).agg(copies)
     alone = keys.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"), F.count_if(F.col("_copies") == 1).alias("n_distinct")
+        total,
+        F.count_if(F.col("_copies") == 1).alias("n_distinct"),
+        F.count_if(F.col("_copies") > 1).alias("n_repeated"),
     )
     repeated = keys.filter(F.col("_copies") > 1).alias("k")
     same = reduce(lambda a, b: a & b, [F.col(f"d.`{c}`").eqNullSafe(F.col(f"k.`{c}`")) for c in key])
     compared = df.alias("d").join(repeated, same, "left_semi").groupBy(*df.columns).agg(copies)
-    parts = alone.unionAll(compared.agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("n_distinct")))
-    return parts.agg(F.sum("n").alias("n"), F.sum("n_distinct").alias("n_distinct"))
+    none = F.lit(0).cast("bigint")
+    parts = alone.unionAll(compared.agg(none.alias("n"), F.count("*").alias("n_distinct"), none.alias("n_repeated")))
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])

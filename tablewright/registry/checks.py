@@ -157,4 +157,5 @@ def dq_unique_summary(spark, sf_dir):
 )
 def dq_unique_keyed(spark, sf_dir):
     """Whole rows are compared only where the key repeats."""
-    return row_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    counts = row_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return counts.select("n", "n_distinct")

@@ -119,9 +119,9 @@ def test_row_counts_with_and_without_key(spark):
     data = [(1, "a"), (1, "a"), (1, "b"), (2, None), (2, None), (3, "c"), (None, "d"), (None, "d"), (None, "e")]
     df = spark.createDataFrame(data, "k int, v string")
     assert row_counts(df).first() == (9, 6)
-    assert row_counts(df, ["k"]).first() == (9, 6)
+    assert row_counts(df, ["k"]).first() == (9, 6, 3)
     assert row_counts(df.limit(0)).first() == (0, 0)
-    assert row_counts(df.limit(0), ["k"]).first() == (0, 0)
+    assert row_counts(df.limit(0), ["k"]).first() == (0, 0, 0)
 
 
 def test_concat_is_by_position(spark):
