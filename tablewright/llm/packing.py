@@ -271,6 +271,7 @@ def pack(items: DataFrame, capacity: int = 1024, length: str = "length", order:
     for r in counted:
         counts[r[length]] += r["n"]
     places = _places(plan_lengths(counts, capacity))
+    kept = items.columns
     out_schema = StructType([*items.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +287,7 @@ def pack(items: DataFrame, capacity: int = 1024, length: str = "length", order:
                 lows, sequences, offsets = places[n]
                 at = np.searchsorted(lows, rank_, "right") - 1
                 sequence[rows], offset[rows] = sequences[at] + rank_ - lows[at], offsets[at]
-            columns = [batch.column(c) for c in items.columns]
+            columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names=out_schema.names)
 
     return ranked.mapInArrow(place, out_schema)
