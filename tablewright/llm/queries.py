@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import packing, token_orc
+from tablewright.llm import chat, mixing, packing, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,57 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_digest(token_orc.read_token_orc(spark, path))
 
 
+def conversation_records(turns: DataFrame) -> DataFrame:
+    """One JSON record per conversation: exchanges in the prompt or instruction layout, everything else as messages."""
+    turn = F.struct("turn", "role", "text")
+    rows = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    roles = F.transform("turns", lambda t: t["role"])
+
+    def text(i: int):
+        return F.get("turns", F.lit(i))["text"]
+
+    prompt = F.struct(text(0).alias("prompt"), text(1).alias("response"))
+    instruction = F.struct(text(1).alias("instruction"), text(2).alias("output"), text(0).alias("system"))
+    messages = F.struct(
+        F.transform("turns", lambda t: F.struct(t["text"].alias("content"), t["role"].alias("role"))).alias("messages")
+    )
+    keep = {"ignoreNullFields": "false"}
+    record = (
+        F.when(roles == F.array(F.lit("user"), F.lit("assistant")), F.to_json(prompt, keep))
+        .when(roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")), F.to_json(instruction, keep))
+        .otherwise(F.to_json(messages, keep))
+    )
+    return rows.select("conv_id", record.alias("record"))
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    written = stash(chat.format_chats(conversation_records(turns.unionByName(own))).drop("record"), "chats")
+    read = written.withColumn("turns", chat.read_turns(F.col("formatted"), F.col("turn_loss")))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "layout",
+    )
+
+
+@query("op9_splitting_tree_mix")
+def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = stash(packing.pieces(table(spark, sf_dir, "documents")), "packing-pieces")
