@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, mixing, packing, token_orc
+from tablewright.llm import chat, mixing, ngram_join, packing, pq_neardup, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def conversation_records(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", record.alias("record"))
 
 
+@query("op2_pq_near_duplicates")
+def op2_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_chat_format")
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -83,6 +88,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_divide_skip_join")
+def op7_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_splitting_tree_mix")
 def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
