@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, mixing, ngram_join, packing, pq_neardup, token_orc
+from tablewright.llm import chat, imatch, knn_quality, mixing, ngram_join, packing, pq_neardup, secrets, suffix_tree, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,19 @@ def op2_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op3_secret_forest")
+def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs, path="source"), path="source")
+    return found.select(
+        "doc_id",
+        F.col("secrets.n_candidates").cast("long").alias("n_candidates"),
+        F.size("secrets.found").cast("long").alias("n_secrets"),
+        F.to_json("secrets.found").alias("found"),
+        F.sha2(F.col("secrets.redacted"), 256).alias("redacted_sha256"),
+    )
+
+
 @query("op4_chat_format")
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -88,11 +101,39 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_imatch")
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return imatch.compare_with_next(docs, imatch.lexicon(docs))
+
+
+def remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@query("op6_knn_quality")
+def op6_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    space = knn_quality.fit(docs, table(spark, sf_dir, "labels").where(remainder(5) != 0), "quality")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    return knn_quality.score(docs, space).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query("op7_divide_skip_join")
 def op7_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_suffix_tree")
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, words = suffix_tree.fit(docs.where(F.coalesce(remainder(7) != 2, F.lit(True))))
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    return suffix_tree.score(docs, model, words).withColumn("held_out", held_out)
+
+
 @query("op9_splitting_tree_mix")
 def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
