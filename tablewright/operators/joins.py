@@ -41,46 +41,46 @@ def natural_join(
     take: Sequence[str] | None = None,
     hot: Sequence[int] = (),
     salts: int = 64,
+    spread_nulls: bool = False,
 ) -> DataFrame:
     """Join on pairs of (left column, right column); returns all left columns and ``take`` of the right.
 
     Keys repeated on the right multiply the left row, as in SQL. ``how`` is ``inner`` or ``left``.
+    Without the two options below this is a plain join, so filters and column choices above it reach the scans.
 
     Left rows of the ``hot`` keys are spread over ``salts`` shuffle keys and the right rows of those
-    keys alone are repeated for each. In a left join rows with a NULL key match nothing wherever they
-    go, so they are spread as well. The salt depends on row content and input partition only, so a
-    recomputed task repeats it, and equal copies of a row in different input partitions still spread.
+    keys alone are repeated for each. The salt depends on key and input partition only, so a
+    recomputed task repeats it. It keeps filters above the join from reaching the left scan.
+
+    ``spread_nulls`` is for a left join whose NULL keys hold much of the left side: those rows match nothing, so they
+    are added behind the join and never shuffled. The left side is read twice for it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     left_keys, right_keys = [pair[0] for pair in on], [pair[1] for pair in on]
     take = list(right.columns if take is None else take)
+    if spread_nulls and how == "left":
+        null = F.lit(False)
+        for key in left_keys:
+            null = null | F.col(f"`{key}`").isNull()
+        kinds = {f.name: f.dataType for f in right.schema.fields}
+        unmatched = left.where(null).select(
+            *[F.col(f"`{c}`") for c in left.columns], *[F.lit(None).cast(kinds[c]).alias(c) for c in take]
+        )
+        return natural_join(left.where(~null), right, on, how, take, hot, salts).unionAll(unmatched)
+    left_columns = left.columns
     if hot:
         # both sides must hash a key alike, or a salted row would miss its match
         kinds = dict(left.dtypes), dict(right.dtypes)
         unlike = [pair for pair in on if kinds[0][pair[0]] != kinds[1][pair[1]]]
         if unlike:
             raise ValueError(f"salted keys must have equal types on both sides: {unlike}")
-    salted = bool(hot) or how == "left"
-    if salted:
-        spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-        loose = F.lit(False)
-        if how == "left":
-            for key in left_keys:
-                loose = loose | F.col(key).isNull()
-        if hot:
-            loose = loose | _key_hash(left_keys).isin(list(hot))
-        left_columns = left.columns
-        left = left.withColumn(_SALT, F.when(loose, spread).otherwise(F.lit(0)))
+        spread = F.pmod(_key_hash(left_keys) + F.spark_partition_id(), F.lit(salts)).cast("int")
+        left = left.withColumn(_SALT, F.when(_key_hash(left_keys).isin(list(hot)), spread).otherwise(F.lit(0)))
+        copies = F.when(_key_hash(right_keys).isin(list(hot)), F.sequence(F.lit(0), F.lit(salts - 1)))
         right = right.select(*dict.fromkeys([*right_keys, *take]))
-        if hot:
-            copies = F.when(_key_hash(right_keys).isin(list(hot)), F.sequence(F.lit(0), F.lit(salts - 1)))
-            right = right.withColumn(_SALT, F.explode(copies.otherwise(F.array(F.lit(0)))))
-        else:
-            right = right.withColumn(_SALT, F.lit(0))
+        right = right.withColumn(_SALT, F.explode(copies.otherwise(F.array(F.lit(0)))))
         on = [*on, (_SALT, _SALT)]
-    else:
-        left_columns = left.columns
     condition = None
     for left_key, right_key in on:
         equal = F.col(f"l.`{left_key}`") == F.col(f"r.`{right_key}`")

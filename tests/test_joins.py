@@ -76,6 +76,25 @@ def test_salt_spreads_the_hot_key(spark):
     assert len(sizes) > 1
 
 
+def test_null_keys_can_pass_the_join_unshuffled(spark):
+    left = spark.range(0, 4000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"), "id")
+    right = spark.range(5).select(F.col("id").alias("key"), F.col("id").cast("string").alias("sid"))
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(s) for s in settings]
+    for s, value in zip(settings, ("-1", "false"), strict=True):
+        spark.conf.set(s, value)
+    try:
+        joined = natural_join(left, right, [("k", "key")], "left", ["sid"], spread_nulls=True)
+        nulls = [r[1] for r in joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        plain = natural_join(left, right, [("k", "key")], "left", ["sid"])
+        assert rows(joined) == rows(plain)
+    finally:
+        for s, value in zip(settings, before, strict=True):
+            spark.conf.set(s, value)
+    assert len(nulls) == 8
+    assert max(nulls) <= 2 * min(nulls)
+
+
 def test_hot_keys_finds_only_large_shares(spark):
     even = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
     assert hot_keys(even, ["k"], 0.05) == []
