@@ -72,6 +72,15 @@ def sink_csv_quoted(spark, sf_dir):
     return read_csv(spark, path, customer.schema)
 
 
+@query("sink_csv_text", "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def sink_csv_text(spark, sf_dir):
+    """Whole documents, with line breaks and quotes, through quoted files of bounded size and back."""
+    path = scratch_path(spark, "csv")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_csv(documents, path, quote_all=True, records_per_file=10_000)
+    return read_csv(spark, path, documents.schema)
+
+
 @query("sink_csv_lines", "SELECT count(*) AS lines FROM customer")
 def sink_csv_lines(spark, sf_dir):
     """Lines of the written file without its header."""

@@ -34,6 +34,7 @@ TURN = T.StructType(
         T.StructField("conv_id", T.LongType()),
         T.StructField("turn", T.LongType()),
         T.StructField("role", T.StringType()),
+        T.StructField("text", T.StringType()),
     ]
 )
 DAY_TEMPLATE = "year={year}/month={month}/date={year}-{month}-{day}"
@@ -69,8 +70,9 @@ def src_path_template(spark, sf_dir):
     return read_json(spark, path, EVENT).select("event_id", "user_id", "event_type")
 
 
-@query("src_csv_headed", "SELECT conv_id, turn, role FROM conversations")
+@query("src_csv_headed", "SELECT conv_id, turn, role, nullif(text, '') AS text FROM conversations")
 def src_csv_headed(spark, sf_dir):
+    """Texts hold line breaks, quotes and separators."""
     path = scratch_path(spark, "csv")
     write_csv(table(spark, sf_dir, "conversations").select(*TURN.names), path)
     return read_csv(spark, path, TURN)

@@ -20,14 +20,25 @@ def read_json(
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",", header: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    sep: str = ",",
+    header: bool = True,
+    multiline: bool = True,
 ) -> DataFrame:
     """Delimited files of one layout.
 
     With a header each file's column names are checked against the schema, since Spark would
     otherwise bind the columns by position only. ``header=False`` takes the first line as data.
+
+    Quoted fields may hold line breaks, so work is divided by file, not within one; ``write_csv`` can bound the
+    size of its files. ``multiline=False`` divides large files too. It is for data known to hold no line break:
+    a record that is broken or does not fit the schema is then an error, never a row of NULLs.
+    An empty field is NULL, a quoted empty one too.
     """
-    reader = spark.read.schema(schema).option("sep", sep).option("header", header)
+    reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("multiLine", multiline)
+    reader = reader.option("mode", "PERMISSIVE" if multiline else "FAILFAST")
     return reader.option("enforceSchema", not header).option("quote", '"').option("escape", '"').csv(path)
 
 

@@ -189,3 +189,19 @@ def test_bucketed_join_needs_no_shuffle(spark, tmp_path):
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     drop_table(spark, "left_t")
     drop_table(spark, "right_t")
+
+
+def test_csv_keeps_line_breaks_quotes_and_separators(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a\nb "c", d'), (2, "e\r\nf;"), (3, None), (4, ""), (5, "\\")], "id int, v string")
+    for quote_all in (True, False):
+        write_csv(df.coalesce(1), str(tmp_path / f"{quote_all}"), quote_all, records_per_file=2)
+        assert len(list((tmp_path / f"{quote_all}").glob("*.csv"))) == 3
+        back = read_csv(spark, str(tmp_path / f"{quote_all}"), df.schema)
+        assert rows(back) == rows(df.replace({"": None}, subset=["v"]))
+
+
+def test_fast_csv_reading_fails_on_a_broken_record(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb")], "id int, v string")
+    write_csv(df, str(tmp_path / "out"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        read_csv(spark, str(tmp_path / "out"), df.schema, multiline=False).collect()
