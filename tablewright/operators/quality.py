@@ -27,7 +27,7 @@ def check_non_empty(df: DataFrame, name: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, name: str, key: Sequence[str] = ()) -> DataFrame:
-    """No two rows are equal. Name a ``key`` that is meant to be unique to compare whole rows only where it repeats."""
+    """No two rows are equal. ``key`` may name columns that are grouped along."""
     return row_counts(df, key).select(
         *_result(name, "unique_rows", F.col("n") == F.col("n_distinct"), F.col("n"), " rows, ", F.col("n_distinct"), " distinct")
     )
@@ -43,29 +43,35 @@ def _check_keyed(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     return row_counts(df, key).select(F.inline(F.array(*[F.struct(*row) for row in rows])))
 
 
-def _one_pass(df: DataFrame, faults: Mapping[str, Column], name: str, noun: str) -> DataFrame:
-    """Count the rows each condition holds for, all in one scan, and report one row per condition."""
-    counts = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(faults.values())])
-    rows = F.inline(
-        F.array(*[F.struct(F.lit(check).alias("check_name"), F.col(f"c{i}").alias("n")) for i, check in enumerate(faults)])
-    )
-    return counts.select(rows).select(
-        F.lit(name).alias("table_name"),
-        "check_name",
-        (F.col("n") == 0).alias("passed"),
-        F.concat(F.col("n").cast("string"), F.lit(f" {noun}")).alias("detail"),
-    )
+def _one_pass(df: DataFrame, faults: Mapping[str, tuple[Column, str]], name: str, non_empty: bool = False) -> DataFrame:
+    """Count the rows each condition holds for, and with ``non_empty`` all rows, in one scan; one row per condition."""
+    n = F.count("*").alias("n")
+    counts = df.agg(n, *[F.count_if(condition).alias(f"c{i}") for i, (condition, _) in enumerate(faults.values())])
+    rows = [
+        _result(name, check, F.col(f"c{i}") == 0, F.col(f"c{i}"), f" {noun}")
+        for i, (check, (_, noun)) in enumerate(faults.items())
+    ]
+    if non_empty:
+        rows.insert(0, _result(name, "non_empty", F.col("n") > 0, F.col("n"), " rows"))
+    return counts.select(F.inline(F.array(*[F.struct(*row) for row in rows])))
+
+
+def _null_faults(columns: Sequence[str]) -> dict[str, tuple[Column, str]]:
+    return {f"not_null({c})": (F.col(c).isNull(), "null") for c in columns}
+
+
+def _length_faults(limits: Mapping[str, int]) -> dict[str, tuple[Column, str]]:
+    return {f"length({c}<={n})": (F.coalesce(F.length(c) > n, F.lit(False)), "too long") for c, n in limits.items()}
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """None of the columns holds a NULL."""
-    return _one_pass(df, {f"not_null({c})": F.col(c).isNull() for c in columns}, name, "null")
+    return _one_pass(df, _null_faults(columns), name)
 
 
 def check_length(df: DataFrame, limits: Mapping[str, int], name: str) -> DataFrame:
     """No text is longer than its declared limit."""
-    faults = {f"length({c}<={n})": F.coalesce(F.length(c) > n, F.lit(False)) for c, n in limits.items()}
-    return _one_pass(df, faults, name, "too long")
+    return _one_pass(df, _length_faults(limits), name)
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -106,16 +112,14 @@ def run_checks(
 
     Each table must be non-empty and without repeated rows; ``extra`` checks are run on each as well.
     ``keys``, ``not_null`` and ``limits`` (text lengths) add checks for the tables they name.
+    A table is scanned twice: once for counts, NULLs and lengths, once for repeated rows and keys.
     """
     results = []
     for table in tables:
         df = spark.read.parquet(f"{base.rstrip('/')}/{table}")
         key = list((keys or {}).get(table, ()))
-        results += [check_non_empty(df, table), _check_keyed(df, key, table) if key else check_unique(df, table)]
-        if not_null and not_null.get(table):
-            results.append(check_not_null(df, not_null[table], table))
-        if limits and limits.get(table):
-            results.append(check_length(df, limits[table], table))
+        faults = _null_faults((not_null or {}).get(table, ())) | _length_faults((limits or {}).get(table, {}))
+        results += [_one_pass(df, faults, table, non_empty=True), _check_keyed(df, key, table) if key else check_unique(df, table)]
         results += [check(df, table) for check in extra]
     return reduce(DataFrame.unionAll, results)
 
