@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import item_of_split, parse_date
 from tablewright.operators import calendar_union, dim_distinct, raise_on_failure, roll_up, run_checks
 from tablewright.sources import write_table
-from tablewright.storage import run_together
+from tablewright.storage import remove_path, replace_path, run_together
 
 # Columns of the target tables and the date patterns of the records.
 RESIDENT = ["admnum", "i94bir", "occup", "biryear", "gender"]
@@ -66,15 +67,19 @@ def build_lake(
     out: str,
     check: bool = False,
 ) -> DataFrame:
-    """Write the seven tables below ``out`` and return the check report for all of them."""
-    tables = lake_tables(records, demographics, airports)
-    run_together(
-        spark,
-        [
-            partial(write_table, df, f"{out.rstrip('/')}/{name}", PARTITIONS.get(name, ()))
-            for name, df in tables.items()
-        ],
-    )
+    """Write the seven tables below ``out`` and return the check report for all of them.
+
+    Each is written aside first and then put in the place of an older one.
+    """
+    tables, out = lake_tables(records, demographics, airports), out.rstrip("/")
+    aside = f"{out}/_next-{uuid4().hex}"
+
+    def write(name: str, df: DataFrame) -> None:
+        write_table(df, f"{aside}/{name}", PARTITIONS.get(name, ()))
+        replace_path(spark, f"{aside}/{name}", f"{out}/{name}")
+
+    run_together(spark, [partial(write, name, df) for name, df in tables.items()])
+    remove_path(spark, aside)
     report = run_checks(spark, out, list(tables))
     if check:
         raise_on_failure(report)

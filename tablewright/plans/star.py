@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from tablewright.operators import (
     sequence_key,
 )
 from tablewright.sources import write_table
-from tablewright.storage import remove_path, run_together, stash
+from tablewright.storage import remove_path, replace_path, run_together, stash
 
 EVENT_ORDER = ("ts", "sessionId", "itemInSession")
 CATALOGUE_ORDER = ("song_id", "title", "duration")
@@ -256,13 +257,14 @@ def star_tables(
     key_path: str | None = None,
     hot: Sequence[int] = (),
     fact: DataFrame | None = None,
+    known: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The tables of a profile as frames, under the neutral column names.
 
     ``event_order`` and ``catalogue_order`` say which row counts as first and last in upserts.
     ``serial`` and ``identity`` keys number rows as they lie unless ``number_in_order``. ``hot`` are
     catalogue match keys to salt (see ``hot_keys``). ``fact`` is an already written fact table to take
-    the calendar from instead of joining again.
+    the calendar from instead of joining again, ``known`` already written songs and artists to look plays up in.
     """
     profile = PROFILES[profile] if isinstance(profile, str) else profile
     typed = _typed_events(events, profile)
@@ -272,7 +274,7 @@ def star_tables(
     artists = _artists(catalogue, profile, catalogue_order)
     tables: dict[str, DataFrame] = {}
     if fact is None and ("songplays" in only or ("time" in only and profile.time_from == "fact")):
-        fact = _match(_slim(plays), catalogue, songs, artists, profile, hot)
+        fact = _match(_slim(plays), catalogue, *(known or (songs, artists)), profile, hot)
         if "songplays" in only:
             fact = _keyed(fact, profile, number_in_order, key_start, key_path)
     if "songplays" in only:
@@ -368,11 +370,13 @@ def build_star(
     event_order: Sequence[str] = EVENT_ORDER,
     catalogue_order: Sequence[str] = CATALOGUE_ORDER,
 ) -> DataFrame:
-    """Stage, write the fact, then the dimensions, then check; returns the check report.
+    """Stage, write the tables, then check; returns the check report.
 
     ``fresh`` rebuilds the tables. Without it a profile that appends adds to the tables in ``out``:
-    keys go on after the last one and upserted dimensions absorb the new rows. ``hot_share`` looks for
-    songs with at least that share of plays and salts them in the match. ``check`` raises on failures.
+    keys go on after the last one and upserted dimensions absorb the new rows. A profile that looks plays up writes
+    songs and artists first and looks them up in the written tables, so plays also match what earlier loads brought.
+    ``hot_share`` looks for songs with at least that share of plays and salts them in the match. ``check`` raises on
+    failures. A table that is replaced is written aside first and then put in the place of the old one.
     """
     profile = PROFILES[profile] if isinstance(profile, str) else profile
     out = out.rstrip("/")
@@ -384,49 +388,65 @@ def build_star(
             partial(stash, catalogue, "staging_songs", f"{out}/staging_songs"),
         ],
     )
-    match_keys = ["song", "artist"]
-    hot = hot_keys(events, match_keys + ["length"] * profile.match_length, hot_share) if hot_share else ()
+    hot: Sequence[int] = ()
+    if hot_share:
+        match_keys = ["song", "artist"] + ["length"] * profile.match_length
+        hot = hot_keys(_plays(_typed_events(events, profile), profile), match_keys, hot_share)
     names = {t: dict(zip(schemas.STAR_COLUMNS[t], profile.columns[t], strict=True)) for t in schemas.STAR_COLUMNS}
+    aside = f"{out}/_next-{uuid4().hex}"
 
     def write(table: str, df: DataFrame, mode: str) -> None:
         renamed = df.select(*[F.col(c).alias(names[table].get(c, c)) for c in df.columns])
         cluster = [names[table][c] for c in profile.clusters.get(table, ())]
-        write_table(renamed, f"{out}/{table}", profile.partitions.get(table, ()), cluster, mode=mode)
+        # a hot song spans files
+        sort = [names[table][c] for c in ("start_time", "songplay_id") if c in df.columns] if cluster else []
+        sort = [c for c in sort if c not in cluster]
+        target = f"{out}/{table}" if mode == "append" else f"{aside}/{table}"
+        write_table(renamed, target, profile.partitions.get(table, ()), cluster, sort, mode=mode)
+        if mode != "append":
+            replace_path(spark, target, f"{out}/{table}")
+
+    def written(table: str) -> DataFrame:
+        df = spark.read.parquet(f"{out}/{table}")
+        back = {new: old for old, new in names[table].items()}
+        return df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns])
 
     key_start = None
-    key = names["songplays"]["songplay_id"]
     if append and profile.key in ("serial", "identity"):
-        last = spark.read.parquet(f"{out}/songplays").agg(F.max(key)).first()[0]
+        last = written("songplays").agg(F.max("songplay_id")).first()[0]
         key_start = None if last is None else last + 1
     mode = "append" if append else "overwrite"
     options = {"event_order": event_order, "catalogue_order": catalogue_order, "hot": hot}
-    numbering = f"{out}/_numbering"
-    fact = star_tables(
-        events, catalogue, profile, only=["songplays"], key_start=key_start, key_path=numbering, **options
-    )
-    write("songplays", fact["songplays"], mode)
-    # the calendar reads this load's rows back from the written fact
-    written = spark.read.parquet(f"{out}/songplays")
-    if key_start is not None:
-        written = written.filter(F.col(key) >= key_start)
-    tables = star_tables(
-        events, catalogue, profile, only=["users", "songs", "artists", "time"], fact=written, **options
-    )
 
     def load(table: str, rows: DataFrame) -> None:
         merged = None
         if append and table != "time":
-            known = spark.read.parquet(f"{out}/{table}").toDF(*rows.columns)
-            merged = _merge_known(table, rows, known, profile)
+            merged = _merge_known(table, rows, written(table).select(*rows.columns), profile)
         if merged is None:
             write(table, rows, mode)
         else:
-            # the table is read and replaced, so the result is written aside first
-            aside = stash(merged.select(*rows.columns), table, f"{out}/_merged/{table}")
-            write(table, aside, "overwrite")
+            write(table, merged.select(*rows.columns), "overwrite")
 
-    run_together(spark, [partial(load, table, rows) for table, rows in tables.items()])
-    for leftover in (numbering, f"{out}/_merged"):
+    def load_all(tables: dict[str, DataFrame]) -> None:
+        run_together(spark, [partial(load, table, rows) for table, rows in tables.items()])
+
+    first = ["songs", "artists"] if profile.match == "lookup" else []
+    known = None
+    if first:
+        load_all(star_tables(events, catalogue, profile, only=first, **options))
+        known = written("songs"), written("artists")
+    numbering = f"{out}/_numbering"
+    fact = star_tables(
+        events, catalogue, profile, only=["songplays"], key_start=key_start, key_path=numbering, known=known, **options
+    )
+    write("songplays", fact["songplays"], mode)
+    # the calendar reads this load's rows back from the written fact
+    loaded = written("songplays")
+    if key_start is not None:
+        loaded = loaded.filter(F.col("songplay_id") >= key_start)
+    rest = [t for t in ("users", "songs", "artists", "time") if t not in first]
+    load_all(star_tables(events, catalogue, profile, only=rest, fact=loaded, **options))
+    for leftover in (numbering, aside):
         remove_path(spark, leftover)
 
     report = check_star(spark, out, profile)

@@ -79,7 +79,7 @@ for _name in TABLES:
     f"{BASE} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM ({sql})" for n, sql in TABLES.items()),
 )
 def lake_built(spark, sf_dir):
-    """Records come as Parquet, the rest as delimited files; then all seven tables are written and checked."""
+    """Records come as Parquet, the rest as delimited files; then all seven tables are written."""
     out = scratch_path(spark, "lake")
     demographics(spark, sf_dir).write.option("sep", ";").option("header", True).csv(f"{out}/raw/demographics")
     write_csv(airports(spark, sf_dir), f"{out}/raw/airports")

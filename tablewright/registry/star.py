@@ -8,7 +8,7 @@ from tablewright.operators import concat_rows
 from tablewright.plans import PROFILES, build_star, star_tables
 from tablewright.registry.base import query
 from tablewright.registry.derived import CATALOGUE_SQL, EVENT_SQL, catalogue, event_log
-from tablewright.schemas import STAR_COLUMNS
+from tablewright.schemas import PRIMARY_KEYS, REQUIRED, STAR_COLUMNS
 from tablewright.storage import scratch_path
 
 EVENT_ORDER = ("ts", "sessionId", "itemInSession")
@@ -153,7 +153,7 @@ def _counts_sql(profile: str) -> str:
 def _register_built(profile: str) -> None:
     @query(f"star_{profile}_built", f"WITH {BASE} {_counts_sql(profile)}")
     def run(spark, sf_dir):
-        """Stage, write and check all tables; compare the rows written."""
+        """Stage and write all tables; the number of rows written."""
         out = scratch_path(spark, f"star-{profile}")
         build_star(
             spark,
@@ -171,5 +171,74 @@ def _register_built(profile: str) -> None:
         return concat_rows(*counts)
 
 
+def _report_sql(profile: str) -> str:
+    """What the checks of a profile's written tables must report."""
+    parts, tables = [], []
+    for table, sql in TABLES[profile].items():
+        names = dict(zip(STAR_COLUMNS[table], PROFILES[profile].columns[table], strict=True))
+        (key,) = PRIMARY_KEYS[table]
+        if table == "songplays" and PROFILES[profile].key == "monotonic":
+            sql = f"SELECT row_number() OVER () AS songplay_id, * FROM ({sql})"
+        tables.append(f"t_{table} AS ({sql})")
+        checks = [
+            ("non_empty", "n > 0", "n || ' rows'", f"SELECT count(*) AS n FROM t_{table}"),
+            (
+                "unique_rows",
+                "n = d",
+                "n || ' rows, ' || d || ' distinct'",
+                f"SELECT (SELECT count(*) FROM t_{table}) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM t_{table})) AS d",
+            ),
+            (
+                f"unique_key({names[key]})",
+                "n = 0",
+                "n || ' repeated keys'",
+                f"SELECT count(*) AS n FROM (SELECT {key} FROM t_{table} GROUP BY 1 HAVING count(*) > 1)",
+            ),
+        ]
+        for column in dict.fromkeys([key, *REQUIRED[table]]):
+            nulls = f"SELECT count(*) AS n FROM t_{table} WHERE {column} IS NULL"
+            checks.append((f"not_null({names[column]})", "n = 0", "n || ' null'", nulls))
+        parts += [
+            f"SELECT '{table}' AS table_name, '{check}' AS check_name, {passed} AS passed, {detail} AS detail FROM ({counts})"
+            for check, passed, detail, counts in checks
+        ]
+    return f"WITH {BASE}, {', '.join(tables)} " + " UNION ALL ".join(parts)
+
+
+def _register_written(profile: str) -> None:
+    options = {"event_order": EVENT_ORDER, "catalogue_order": CATALOGUE_ORDER}
+
+    @query(f"star_{profile}_checked", _report_sql(profile))
+    def checked(spark, sf_dir):
+        """The check report of the tables that a load has written."""
+        out = scratch_path(spark, f"star-{profile}")
+        return build_star(spark, event_log(spark, sf_dir), catalogue(spark, sf_dir), out, profile, **options)
+
+    by_content = PROFILES[profile].key == "md5"
+    fact = TABLES[profile]["songplays"]
+    columns = f"start_time, user_id, {FACT_TAIL}" + (", songplay_id" if by_content else "")
+
+    @query(f"star_{profile}_written", f"WITH {BASE} SELECT {columns} FROM ({fact})")
+    def written(spark, sf_dir):
+        """The fact table as it has been written; numbers depend on the order in which rows lie and are left out."""
+        out = scratch_path(spark, f"star-{profile}")
+        build_star(spark, event_log(spark, sf_dir), catalogue(spark, sf_dir), out, profile, **options)
+        names = dict(zip(PROFILES[profile].columns["songplays"], STAR_COLUMNS["songplays"], strict=True))
+        rows = spark.read.parquet(f"{out}/songplays").withColumnsRenamed(names)
+        return rows.select(*[c for c in STAR_COLUMNS["songplays"] if by_content or c != "songplay_id"])
+
+
+@query("star_rowwise_appended", f"WITH {BASE} SELECT start_time, user_id, {FACT_TAIL} FROM ({ROWWISE_FACT})")
+def star_rowwise_appended(spark, sf_dir):
+    """Half the log with the catalogue, then the other half without new songs: the rows of a load in one go."""
+    out, log, songs = scratch_path(spark, "star-appended"), event_log(spark, sf_dir), catalogue(spark, sf_dir)
+    even = F.col("sessionId") % 2 == 0
+    options = {"event_order": EVENT_ORDER, "catalogue_order": CATALOGUE_ORDER}
+    build_star(spark, log.where(even), songs, out, "rowwise", **options)
+    build_star(spark, log.where(~even), songs.limit(0), out, "rowwise", fresh=False, **options)
+    return spark.read.parquet(f"{out}/songplays").drop("songplay_id")
+
+
 for _profile in PROFILES:
     _register_built(_profile)
+    _register_written(_profile)

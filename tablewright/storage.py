@@ -50,6 +50,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def replace_path(spark: SparkSession, new: str, old: str) -> None:
+    """Put the complete folder ``new`` in the place of ``old``, which is deleted only then. Both must be on one file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = path(f"{old}-replaced-{uuid4().hex}")
+    files.mkdirs(path(old).getParent())
+    had = files.exists(path(old))
+    if had and not files.rename(path(old), aside):
+        raise OSError(f"cannot move {old}")
+    if not files.rename(path(new), path(old)):
+        if had:
+            files.rename(aside, path(old))
+        raise OSError(f"cannot move {new} to {old}")
+    if had:
+        files.delete(aside, True)
+
+
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list[Any]:
     """Submit independent jobs at once, so that one's last tasks do not leave the cluster idle."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
