@@ -97,13 +97,13 @@ def _short_lists(docs: DataFrame, order: np.ndarray, width: int, percent: int, k
 
 
 def _merge_lists(entries: DataFrame) -> DataFrame:
-    """Rows (token, id, n) of lists of two or more, with the list's smallest id as ``head``.
+    """Rows (token, id, n) of lists of two or more, with the list's smallest id as ``head`` and its size as ``head_n``.
 
     Lists meet by an external sort and stream past, one row of state, so a long list needs no memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple | None = None  # the row before, its head, and whether it has been given out
+        last: tuple | None = None  # the row before, its head with its size, and whether it has been given out
         for batch in batches:
             token, id_, n = (batch.column(i).to_numpy() for i in range(3))
             if not len(token):
@@ -117,22 +117,23 @@ def _merge_lists(entries: DataFrame) -> DataFrame:
             new = np.ones(len(token), bool)
             new[1:] = token[1:] != token[:-1]
             begin = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
-            head = id_[begin]
+            head, head_n = id_[begin], n[begin]
             if last is not None:
-                head[begin == 0] = last[3]
+                head[begin == 0], head_n[begin == 0] = last[3:5]
             again = ~new
             more = np.append(again[1:], False)
             give = again | more
-            if last is not None and last[4]:
+            if last is not None and last[5]:
                 give[0] = False
             out = np.flatnonzero(give)
-            given = bool(give[-1]) or (len(token) == 1 and last is not None and last[4])
-            last = (token[-1], id_[-1], n[-1], head[-1], given)
+            given = bool(give[-1]) or (len(token) == 1 and last is not None and last[5])
+            last = (token[-1], id_[-1], n[-1], head[-1], head_n[-1], given)
             if len(out):
-                yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (token, id_, n, head)], names=["token", "id", "n", "head"])
+                columns = (token, id_, n, head, head_n)
+                yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in columns], names=["token", "id", "n", "head", "head_n"])
 
     rows = entries.select("token", "id", "n").repartition("token").sortWithinPartitions("token", "id")
-    return rows.mapInArrow(run, "token long, id long, n long, head long")
+    return rows.mapInArrow(run, "token long, id long, n long, head long, head_n long")
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -196,10 +197,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     skipped = F.greatest(*[F.ceil(F.col(c) * percent / 100) - 1 for c in ("na", "nb")])
 
-    named = lists.select("id").distinct()
-    whole = stash(_whole_sets(docs, stash(named, "ngram-named"), width, key, text).dropDuplicates(["id"]), "ngram-whole")
-    stars = lists.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = stash(_probe(stars, whole, percent), "ngram-links")
+    def probed(pairs: DataFrame) -> DataFrame:
+        pairs = stash(pairs.where(fits & (F.col("met") >= needed - skipped)).select("a", "b"), "ngram-pairs")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        whole = stash(_whole_sets(docs, stash(ids, "ngram-named"), width, key, text), "ngram-whole")
+        return stash(_probe(pairs, whole, percent), "ngram-links")
+
+    stars = lists.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), F.col("head_n").alias("na"), F.col("n").alias("nb"))
+    first = probed(stars.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met")))
     known = components(first)
 
     # lists in which documents of different components meet
@@ -221,10 +226,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
         F.when(up, F.col("nb")).otherwise(F.col("na")).alias("nb"),
     )
     pair = pair.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
-    pair = pair.where(F.col("met") >= needed - skipped)
-    second = _probe(stash(pair.select("a", "b"), "ngram-pairs"), whole, percent)
 
-    final = components(first.union(second))
+    final = components(first.union(probed(pair)))
     joined = classes.join(final, F.col("head") == F.col("id"), "left")
     joined = joined.select("mark", "n", F.coalesce("component_id", "head").alias("component_id"))
     linked = sets.join(joined, ["mark", "n"], "left")
