@@ -123,7 +123,9 @@ def fillings(counts: np.ndarray, room: int, most: int = FILLINGS) -> list[tuple[
     low = partner(high, room - high)
     full = high + low
     good = np.flatnonzero((low > 0) & (full > largest))
-    good = good[np.argsort(-full[good], kind="stable")][:most]
+    # of fillings that are as full, the one that can be taken most often comes first: it keeps scarce lengths for the rest
+    often = np.where(high == low, counts[high] // 2, np.minimum(counts[high], counts[low]))
+    good = good[np.lexsort((-often[good], -full[good]))][:most]
     found = [(int(high[i]), int(low[i])) for i in good]
     if not found or sum(found[0]) < room:
         first = high[:FIRSTS, None]
@@ -132,13 +134,17 @@ def fillings(counts: np.ndarray, room: int, most: int = FILLINGS) -> list[tuple[
         ok = (second <= first) & (left > 0) & ((second < first) | (counts[second] > 1))
         third = np.where(ok, partner(second, np.maximum(left, 0)), 0)
         full = np.where(ok & (third > 0), first + second + third, 0)
-        for i in np.argsort(-full, axis=None, kind="stable")[:most].tolist():
+        often = np.minimum(np.minimum(counts[first], counts[second]), counts[third])
+        for i in np.lexsort((-often.ravel(), -full.ravel()))[:most].tolist():
             a, b = divmod(i, len(high))
             triple = (int(first[a, 0]), int(high[b]), int(third[a, b]))
             if full[a, b] > largest and all(counts[x] >= n for x, n in Counter(triple).items()):
                 found.append(triple)
     found.append((largest,))
-    found = sorted(set(found), key=lambda f: (-sum(f), len(f), f))[:most]
+    def order(filling: tuple[int, ...]) -> tuple:
+        return -sum(filling), -min(int(counts[x]) // n for x, n in Counter(filling).items()), len(filling), filling
+
+    found = sorted(set(found), key=order)[:most]
     return [f + _top_up(counts, f, room, int(sizes[0])) for f in found]
 
 
