@@ -24,7 +24,7 @@ TERMS = WORD_TERMS + SHAPES + PAIR_TERMS + 1 + SHARES
 #: labelled rows of each class that may be broadcast, and components of the space
 PER_CLASS = 2048
 RANK = 48
-NEIGHBOURS = 24
+NEIGHBOURS = 128
 SHARPNESS = 12.0
 
 _KIND = np.zeros((3, 256), np.int64)
