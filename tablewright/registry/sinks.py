@@ -16,6 +16,7 @@ from tablewright.sources import (
     publish_table,
     read_csv,
     read_parquet,
+    register_views,
     write_bucketed,
     write_csv,
     write_table,
@@ -100,9 +101,25 @@ def sink_bucketed(spark, sf_dir):
     path, name = scratch_path(spark, "parquet"), f"lines_{uuid4().hex}"
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     write_bucketed(lines, name, ["l_orderkey"], buckets=8, sort_by=["l_orderkey", "l_linenumber"], path=path)
-    written = read_parquet(spark, path)
-    drop_table(spark, name)
-    return written
+    # by its name, so that the bucketing is known
+    return spark.table(name)
+
+
+@query(
+    "sink_views",
+    "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
+)
+def sink_views(spark, sf_dir):
+    """Written tables, registered under their names and joined in SQL."""
+    base, suffix = scratch_path(spark, "views"), uuid4().hex
+    names = [f"{name}_{suffix}" for name in ("customer", "nation")]
+    for name in names:
+        write_table(table(spark, sf_dir, name.split("_")[0]), f"{base}/{name}")
+    register_views(spark, base, names)
+    customer, nation = names
+    return spark.sql(
+        f"SELECT n_name, count(*) AS customers FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey GROUP BY n_name"
+    )
 
 
 @query(

@@ -80,3 +80,15 @@ def test_filter_and_columns_pass_a_left_join(spark):
 
 def test_lookup_of_a_clustered_table_pushes_the_key(spark):
     assert "EqualTo(conv_id,1)" in plan(spark, "lookup_by_key")
+
+
+def test_grouping_a_bucketed_table_by_its_key_needs_no_shuffle(spark):
+    grouped = QUERIES["sink_bucketed"](spark, SF_DIR).groupBy("l_orderkey").count()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = grouped._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "Bucketed: true" in text
+    assert "Exchange" not in text
