@@ -7,8 +7,8 @@ scored in the state of the longest kept suffix of what stands before it in its d
 
 Counts cover all training documents. A context-word sequence is listed if it makes up a share ``least_share`` of all
 tokens or more, so there are at most 1 / least_share of each length, however large the corpus: that bounds the model and what is
-broadcast. Such a sequence reaches the share in some stretch of rows, so stretches report only those that do,
-and these are then counted exactly. Rarer words are scored through a join on the word.
+broadcast. Such a sequence reaches the share in some stretch of about a million tokens, so stretches report only those that do
+(and occur twice there), and these are then counted exactly. Rarer words are scored through a join on the word.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ LEAST_SHARE = 5e-7
 DISCOUNT = 0.75
 #: sequences counted in one pass over the texts
 COUNTED_AT_ONCE = 4_000_000
-_STRETCH = 3_000_000
+_STRETCH = 1_200_000
 END = np.uint64(0x5EED0FE2D0C5E11D)
 _NONE = np.zeros(0, np.uint64)
 
@@ -80,11 +80,12 @@ def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFra
     """Rows (length, gram, context, suffix, n): all words, and the longer sequences that reach the share within a stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[list[np.ndarray], np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            grams = [np.concatenate([h[0][n] for h in held]) for n in range(DEPTH + 1)]
-            place = np.concatenate([h[1] for h in held])
+            # only the tokens are held: longer sequences do not cross texts, so they can be hashed for the whole stretch
+            grams, place = _grams(np.concatenate([h[0] for h in held]), np.append(0, np.cumsum(np.concatenate([np.diff(h[1]) for h in held]))))
+            held.clear()
             least = max(2.0, least_share * len(place))
             often: np.ndarray | None = None
             for n in range(DEPTH + 1):
@@ -92,11 +93,15 @@ def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFra
                 if n:
                     # a sequence is no more frequent than the one that it extends
                     at = at[often[at - 1]]
-                gram, first, back, count = np.unique(grams[n][at], return_index=True, return_inverse=True, return_counts=True)
+                order = np.argsort(grams[n][at])
+                at = at[order]
+                new = np.flatnonzero(np.append(True, grams[n][at[1:]] != grams[n][at[:-1]])) if len(at) else np.zeros(0, np.int64)
+                gram, count = grams[n][at[new]], np.diff(new, append=len(at))
                 often = np.zeros(len(place), bool)
-                often[at] = (count >= least)[back]
+                often[at] = np.repeat(count >= least, count)
                 keep = slice(None) if n == 0 else count >= least
-                first = at[first[keep]]
+                first = at[new[keep]]
+                del order, at
                 zero = np.zeros(len(first), np.uint64)
                 columns = [gram[keep], grams[n - 1][first - 1] if n else zero, grams[n - 1][first] if n else zero]
                 yield pa.RecordBatch.from_arrays(
@@ -107,11 +112,11 @@ def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFra
         size = 0
         for batch in small_batches(batches, text):
             tokens, bounds = _tokens(batch.column(text))
-            held.append(_grams(tokens, bounds))
+            held.append((tokens, bounds))
             size += len(tokens)
             if size > _STRETCH:
                 yield from flush()
-                held, size = [], 0
+                size = 0
         if held:
             yield from flush()
 
