@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from hashlib import sha256
+from zlib import compress, decompress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tablewright.llm.hashing import mix, small_batches, word_hashes
 
@@ -36,27 +37,25 @@ def lexicon(docs: DataFrame, low: float = math.log(20), high: float = math.log(5
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        size = rows = 0
+        size = 0
 
         def flush() -> pa.RecordBatch:
             term, found = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(found), pa.array(np.zeros(len(term), np.int64))], names=["term", "docs", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(found)], names=["term", "docs"])
 
         for batch in small_batches(batches, text):
             words, first = word_hashes(batch.column(text))
             held += [np.unique(words[s:e]) for s, e in zip(first[:-1], first[1:], strict=True)]
-            rows += batch.num_rows
             size += len(words)
             if size > _CHUNK:
                 yield flush()
                 held, size = [], 0
         if held:
             yield flush()
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([0]), pa.array([rows])], names=["term", "docs", "rows"])
 
-    counts = docs.select(text).mapInArrow(count, "term long, docs long, rows long").groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("rows").alias("rows"))
+    counts = docs.select(text).mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
     number = docs.count()
-    band = counts.where(F.col("term").isNotNull() & (F.col("docs") >= 2) & F.col("docs").between(number * math.exp(-high), number * math.exp(-low)))
+    band = counts.where((F.col("docs") >= 2) & F.col("docs").between(number * math.exp(-high), number * math.exp(-low)))
     return np.sort(band.select("term").toArrow().column("term").to_numpy().view(np.uint64))
 
 
@@ -95,25 +94,28 @@ def compare_with_next(docs: DataFrame, terms: np.ndarray, key: str = "doc_id", t
     """Per row: key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has the second half (n // 2 code points) replaced by the first as many of the next row's text, in ascending
-    order of key and text (NULL keys first; after the last row comes the first). NULL text is empty. Rows are dealt out by ranges of the
-    key, and the first row of each range also goes to the range before, so each text is shuffled once and no task needs another's rows.
+    order of key (NULL keys first, equal ones by a hash of their text; after the last row comes the first). NULL text is empty. Rows are
+    dealt out by ranges of the key, and the first row of each range also goes to the range before, so each text is shuffled once, packed,
+    and no task needs another's rows.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("tie"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     points = F.array(*[F.lit(i / parts) for i in range(1, parts)] or [F.lit(0.5)])
     row = docs.agg(F.percentile_approx("key", points, F.lit(10_000)).alias("cuts"), F.min("key").alias("least"), F.count_if(F.col("key").isNull()).alias("nulls")).first()
     least = None if row["nulls"] else row["least"]
     # ranges start at keys that exist, above the smallest
     cuts = np.array(sorted({c for c in row["cuts"] or [] if c > row["least"]}), np.int64)
-    dealt_schema = StructType([StructField("bucket", IntegerType()), StructField("ahead", IntegerType()), StructField("key", LongType()), StructField("text", StringType())])
+    dealt_schema = StructType([StructField("bucket", IntegerType()), StructField("ahead", IntegerType()), StructField("key", LongType()), StructField("tie", LongType()), StructField("packed", BinaryType())])
     out_schema = StructType(
         [StructField(key, LongType()), StructField("n_chars", LongType()), StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()),
          StructField("edited_fingerprint", StringType()), StructField("near_edited", DoubleType()), StructField("near_next", DoubleType())]
     )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
+            packed = pa.array([compress(t.encode(), 1) for t in batch.column("text").to_pylist()], pa.binary())
+            batch = pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tie"), packed], names=["key", "tie", "packed"])
             keys = batch.column("key").fill_null(0).to_numpy().astype(np.int64)
             null = ~batch.column("key").is_valid().to_numpy(zero_copy_only=False)
             bucket = np.where(null, 0, np.searchsorted(cuts, keys, "right"))
@@ -127,7 +129,7 @@ def compare_with_next(docs: DataFrame, terms: np.ndarray, key: str = "doc_id", t
             for rows, where, ahead in ((batch, bucket, 0), (taken, to, 1)):
                 if rows.num_rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(where, pa.int32()), pa.array(np.full(len(where), ahead), pa.int32()), rows.column("key"), rows.column("text")], names=dealt_schema.names
+                        [pa.array(where, pa.int32()), pa.array(np.full(len(where), ahead), pa.int32()), *rows.columns], names=dealt_schema.names
                     )
 
     shared = spark.sparkContext.broadcast(terms)
@@ -135,9 +137,10 @@ def compare_with_next(docs: DataFrame, terms: np.ndarray, key: str = "doc_id", t
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = shared.value
         held: tuple | None = None  # the last row, waiting for its next: bucket, key, text, fingerprint
-        for batch in small_batches(batches, "text"):
-            words, bounds = word_hashes(batch.column("text"))
-            rows = list(zip(*(batch.column(c).to_pylist() for c in dealt_schema.names), strict=True))
+        for batch in small_batches(batches, "packed", 1 << 20):
+            texts = [decompress(p).decode() for p in batch.column("packed").to_pylist()]
+            words, bounds = word_hashes(pa.array(texts, pa.string()))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("bucket", "ahead", "key")), texts, strict=True)
             pairs = []
             for i, (bucket, ahead, key_, text_) in enumerate(rows):
                 if ahead and (held is None or held[0] != bucket):
@@ -157,4 +160,4 @@ def compare_with_next(docs: DataFrame, terms: np.ndarray, key: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=out_schema.names)
 
     dealt = docs.mapInArrow(deal, dealt_schema).repartitionById(len(cuts) + 1, F.col("bucket"))
-    return dealt.sortWithinPartitions("bucket", "ahead", "key", "text").mapInArrow(compare, out_schema)
+    return dealt.sortWithinPartitions("bucket", "ahead", "key", "tie").mapInArrow(compare, out_schema)
