@@ -7,7 +7,7 @@ short lists. The short lists are merged by an external sort on the shingle over
 of them to reach T with the lists left out is dropped, and the rest are probed by binary search in the whole sets.
 
 Sets that are equal are joined once. Pairs are not enumerated where links are known already: first each list links its
-documents with its smallest id only, which draws groups of near copies together; then only pairs
+documents with its most common one only, which draws groups of near copies together; then only pairs
 between different components of those links are enumerated. So no link between different components is lost, and a group of
 near copies costs a few probes per document.
 """
@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tablewright.llm.components import components
-from tablewright.llm.hashing import shingles, small_batches, word_hashes
+from tablewright.llm.hashing import release_memory, shingles, small_batches, word_hashes
 from tablewright.storage import stash
 
 #: ids that a broadcast may hold (8 bytes each); beyond it the join shuffles
 BROADCAST_IDS = 1_000_000
 #: shingles whose frequency decides the order; it bounds a broadcast and changes which lists are short, never the result
 FREQUENT = 500_000
-_CHUNK = 3_000_000
+_CHUNK = 1_000_000
 
 
 def _document_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -68,7 +68,10 @@ def _document_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFram
 
 
 def _short_lists(docs: DataFrame, order: np.ndarray, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Rows (id, n, tokens): the shingles of each set's short lists. ``order``: frequent shingles, most frequent last."""
+    """Rows (id, n, rare, tokens): the shingles of each set's short lists, and how many of all its shingles are not frequent.
+
+    ``order``: frequent shingles, most frequent last.
+    """
     rank = np.argsort(order)
     known = order[rank]
     shared = docs.sparkSession.sparkContext.broadcast((known, rank))
@@ -77,7 +80,7 @@ def _short_lists(docs: DataFrame, order: np.ndarray, width: int, percent: int, k
         known, rank = shared.value
         for batch in small_batches(batches, text):
             words, first = word_hashes(batch.column(text))
-            tokens, sizes = [], []
+            tokens, sizes, rares = [], [], []
             for s, e in zip(first[:-1], first[1:], strict=True):
                 found = shingles(words[s:e], width)
                 sizes.append(len(found))
@@ -86,18 +89,22 @@ def _short_lists(docs: DataFrame, order: np.ndarray, width: int, percent: int, k
                 hit = at < len(known)
                 hit[hit] = known[at[hit]] == found[hit]
                 rare, often = found[~hit], found[hit][np.argsort(rank[at[hit]])]
+                rares.append(len(rare))
                 tokens.append(np.concatenate([rare, often])[:keep])
             bounds = np.zeros(len(tokens) + 1, np.int32)
             np.cumsum([len(t) for t in tokens], out=bounds[1:])
             flat = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(sizes, pa.int64()), lists], names=["id", "n", "tokens"])
+            columns = [batch.column(key), pa.array(sizes, pa.int64()), pa.array(rares, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "rare", "tokens"])
 
-    return docs.select(key, text).mapInArrow(run, "id long, n long, tokens array<long>")
+    return docs.select(key, text).mapInArrow(run, "id long, n long, rare long, tokens array<long>")
 
 
 def _merge_lists(entries: DataFrame) -> DataFrame:
-    """Rows (token, id, n) of lists of two or more, with the list's smallest id as ``head`` and its size as ``head_n``.
+    """Rows (token, id, n) of lists of two or more, with the list's most common document as ``head`` and its size as ``head_n``.
+
+    That is the one with the fewest rare shingles, the smallest id of several: of copies with edits the one with the fewest edits.
 
     Lists meet by an external sort and stream past, one row of state, so a long list needs no memory.
     """
@@ -132,7 +139,8 @@ def _merge_lists(entries: DataFrame) -> DataFrame:
                 columns = (token, id_, n, head, head_n)
                 yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in columns], names=["token", "id", "n", "head", "head_n"])
 
-    rows = entries.select("token", "id", "n").repartition("token").sortWithinPartitions("token", "id")
+    rows = entries.select("token", "id", "n", "rare").repartition("token").sortWithinPartitions("token", "rare", "id")
+    rows = rows.select("token", "id", "n")
     return rows.mapInArrow(run, "token long, id long, n long, head long, head_n long")
 
 
@@ -165,6 +173,7 @@ def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both = int((large[at] == small).sum())
                 keep.append(100 * both >= percent * (len(small) + len(large) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     left = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     right = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
@@ -189,7 +198,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
 
     short = _short_lists(docs, order, width, percent, key, text)
     heads = classes.select(F.col("head").alias("id"), F.col("n").alias("m"))
-    entries = short.join(heads, "id").where("n = m").select(F.explode("tokens").alias("token"), "id", "n")
+    entries = short.join(heads, "id").where("n = m").select(F.explode("tokens").alias("token"), "id", "n", "rare")
     lists = stash(_merge_lists(entries), "ngram-lists")
 
     # the lengths that can reach the similarity; and the occurrences needed in the short lists
@@ -207,17 +216,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     first = probed(stars.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met")))
     known = components(first)
 
-    # lists in which documents of different components meet
-    placed = lists.join(known, "id", "left").select("token", "id", "n", F.coalesce("component_id", "id").alias("comp"))
+    # lists in which documents of different components meet; what a document can share at most: all but its shingles in no list
+    short_n = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    most = lists.groupBy("id", "n").agg(F.count("*").alias("met")).select("id", (F.col("n") - short_n + F.col("met")).alias("most"))
+    placed = lists.select("token", "id", "n").join(most.join(known, "id", "left"), "id")
+    placed = placed.select("token", "id", "n", "most", F.coalesce("component_id", "id").alias("comp"))
     placed = stash(placed, "ngram-placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     placed = stash(placed.join(mixed, "token", "left_semi"), "ngram-mixed")
     share = placed.groupBy("token", "comp").agg(F.count("*").alias("rows"))
     main = share.groupBy("token").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"))
-    rest = placed.join(main, "token").where("comp <> main").select("token", "main", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    other = placed.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+    rest = placed.join(main, "token").where("comp <> main")
+    rest = rest.select("token", "main", *[F.col(c).alias(f"{c[0]}b") for c in ("n", "most", "comp")], F.col("id").alias("b"))
+    other = placed.select("token", *[F.col(c).alias(f"{c[0]}a") for c in ("n", "most", "comp")], F.col("id").alias("a"))
     # each pair once per list: a document outside the list's largest component with one inside, or with a smaller id outside
-    meet = rest.join(other, "token").where((F.col("ca") != F.col("cb")) & ((F.col("ca") == F.col("main")) | (F.col("a") < F.col("b"))) & fits)
+    once = (F.col("ca") != F.col("cb")) & ((F.col("ca") == F.col("main")) | (F.col("a") < F.col("b")))
+    meet = rest.join(other, "token").where(once & fits & (needed <= F.least("ma", "mb")))
     up = F.col("a") < F.col("b")
     pair = meet.select(
         F.least("a", "b").alias("a"),
