@@ -7,13 +7,14 @@ Two different words share a hash with a chance of about 2 ** -64 per pair compar
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -72,6 +73,15 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 *
             stop = max(row + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(row, stop - row)
             row = stop
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back: workers live on after a task, beside an executor that may need it for shuffles."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
