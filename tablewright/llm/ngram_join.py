@@ -216,22 +216,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     first = probed(stars.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met")))
     known = components(first)
 
-    # lists in which documents of different components meet; what a document can share at most: all but its shingles in no list
-    short_n = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    most = lists.groupBy("id", "n").agg(F.count("*").alias("met")).select("id", (F.col("n") - short_n + F.col("met")).alias("most"))
-    placed = lists.select("token", "id", "n").join(most.join(known, "id", "left"), "id")
-    placed = placed.select("token", "id", "n", "most", F.coalesce("component_id", "id").alias("comp"))
+    # lists in which documents of different components meet. What two documents share outside the short lists of both lies in the left-out
+    # lists of the one whose short lists end first, so each of them needs as many shared short lists as a pair does.
+    met = lists.groupBy("id").agg(F.count("*").alias("met"))
+    placed = lists.select("token", "id", "n").join(met.join(known, "id", "left"), "id")
+    placed = placed.select("token", "id", "n", "met", F.coalesce("component_id", "id").alias("comp"))
     placed = stash(placed, "ngram-placed")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     placed = stash(placed.join(mixed, "token", "left_semi"), "ngram-mixed")
     share = placed.groupBy("token", "comp").agg(F.count("*").alias("rows"))
     main = share.groupBy("token").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"))
     rest = placed.join(main, "token").where("comp <> main")
-    rest = rest.select("token", "main", *[F.col(c).alias(f"{c[0]}b") for c in ("n", "most", "comp")], F.col("id").alias("b"))
-    other = placed.select("token", *[F.col(c).alias(f"{c[0]}a") for c in ("n", "most", "comp")], F.col("id").alias("a"))
+    rest = rest.select("token", "main", *[F.col(c).alias(f"{c[0]}b") for c in ("n", "met", "comp")], F.col("id").alias("b"))
+    other = placed.select("token", *[F.col(c).alias(f"{c[0]}a") for c in ("n", "met", "comp")], F.col("id").alias("a"))
     # each pair once per list: a document outside the list's largest component with one inside, or with a smaller id outside
     once = (F.col("ca") != F.col("cb")) & ((F.col("ca") == F.col("main")) | (F.col("a") < F.col("b")))
-    meet = rest.join(other, "token").where(once & fits & (needed <= F.least("ma", "mb")))
+    meet = rest.join(other, "token").where(once & fits & (F.least("ma", "mb") >= needed - skipped))
     up = F.col("a") < F.col("b")
     pair = meet.select(
         F.least("a", "b").alias("a"),

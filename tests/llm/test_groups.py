@@ -65,6 +65,17 @@ def test_groups_of_edited_copies_lose_no_link(spark):
     agree(ngram_join.near_duplicates(docs), docs)
 
 
+def test_a_text_and_its_extension_link_beside_a_shorter_copy(spark):
+    """80 of 100 shingles shared, while a copy of 70 heads their lists and links with the shorter one only."""
+    rows = []
+    for group in range(60):
+        own = [f"g{group}w{i}" for i in range(104)]
+        rows += [(3 * group + k, " ".join(own[:size])) for k, size in enumerate((104, 84, 74))]
+    random.Random(2).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    agree(ngram_join.near_duplicates(docs), docs)
+
+
 def test_query_over_the_documents(spark, sf_dir):
     agree(QUERIES["op7_divide_skip_join"](spark, sf_dir), table(spark, sf_dir, "documents"))
 
