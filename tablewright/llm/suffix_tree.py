@@ -5,16 +5,15 @@ divergence test whose threshold grows with the corpus). Next-word distributions
 discounting, towards the longest kept suffix and at last the root, which is the unigram estimate with add-one counts. A word is
 scored in the state of the longest kept suffix of what stands before it in its document.
 
-Counts cover all training documents. A context-word sequence is listed if it makes up a share ``least_share`` of all
-tokens or more, so there are at most 1 / least_share of each length, however large the corpus: that bounds the model and what is
-broadcast. Such a sequence reaches the share in some stretch of about a million tokens, so stretches report only those that do
-(and occur twice there), and these are then counted exactly. Rarer words are scored through a join on the word.
+Every context-word sequence that occurs ``LEAST`` times in the training texts is listed, however large the corpus and however its
+rows are laid out. So the model grows with the input: it is a table, counted, tested and looked up by shuffles on the hash of the
+sequence; the driver gets two totals only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +25,13 @@ from tablewright.llm.hashing import mix, small_batches, word_hashes
 from tablewright.storage import stash
 
 DEPTH = 3
-LEAST_SHARE = 5e-7
+#: occurrences in all training texts from which a sequence is listed, at any size; no share of the corpus is asked for
+LEAST = 2
+LEAST_SHARE = 0.0
 DISCOUNT = 0.75
-#: sequences counted in one pass over the texts
-COUNTED_AT_ONCE = 4_000_000
+#: tokens whose sequences are counted before they are shuffled; it never changes a count
 _STRETCH = 1_200_000
 END = np.uint64(0x5EED0FE2D0C5E11D)
-_NONE = np.zeros(0, np.uint64)
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,30 +53,22 @@ def _grams(tokens: np.ndarray, bounds: np.ndarray) -> tuple[list[np.ndarray], np
 
 @dataclass
 class Model:
-    """Frequent words with counts, kept contexts with their back-off mass, and listed next words with their discounted shares."""
+    """Numbers of training tokens and distinct words, and the table (gram, n, mass, share) that texts are scored with.
+
+    ``n``: count of a word; ``mass``: back-off mass of a kept context; ``share``: discounted share of a listed sequence's last word.
+    """
 
     tokens: int
     distinct: int
-    words: np.ndarray = field(default_factory=lambda: _NONE)
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    listed: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    table: DataFrame
 
     @property
     def total(self) -> int:
         return self.tokens + self.distinct + 1
 
 
-def _find(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in a sorted array, and whether they are there."""
-    at = np.searchsorted(sorted_, wanted)
-    there = at < len(sorted_)
-    there[there] = sorted_[at[there]] == wanted[there]
-    return at, there
-
-
-def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFrame:
-    """Rows (length, gram, context, suffix, n): all words, and the longer sequences that reach the share within a stretch."""
+def _count_stretches(train: DataFrame, text: str) -> DataFrame:
+    """Rows (length, gram, context, suffix, n): all sequences of up to DEPTH + 1 words, summed within stretches of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -86,26 +77,15 @@ def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFra
             # only the tokens are held: longer sequences do not cross texts, so they can be hashed for the whole stretch
             grams, place = _grams(np.concatenate([h[0] for h in held]), np.append(0, np.cumsum(np.concatenate([np.diff(h[1]) for h in held]))))
             held.clear()
-            least = max(2.0, least_share * len(place))
-            often: np.ndarray | None = None
             for n in range(DEPTH + 1):
                 at = np.flatnonzero(place >= n)
-                if n:
-                    # a sequence is no more frequent than the one that it extends
-                    at = at[often[at - 1]]
-                order = np.argsort(grams[n][at])
-                at = at[order]
+                at = at[np.argsort(grams[n][at])]
                 new = np.flatnonzero(np.append(True, grams[n][at[1:]] != grams[n][at[:-1]])) if len(at) else np.zeros(0, np.int64)
-                gram, count = grams[n][at[new]], np.diff(new, append=len(at))
-                often = np.zeros(len(place), bool)
-                often[at] = np.repeat(count >= least, count)
-                keep = slice(None) if n == 0 else count >= least
-                first = at[new[keep]]
-                del order, at
+                first, count = at[new], np.diff(new, append=len(at))
                 zero = np.zeros(len(first), np.uint64)
-                columns = [gram[keep], grams[n - 1][first - 1] if n else zero, grams[n - 1][first] if n else zero]
+                columns = [grams[n][first], grams[n - 1][first - 1] if n else zero, grams[n - 1][first] if n else zero]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(first), n + 1), pa.int32()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(count[keep])],
+                    [pa.array(np.full(len(first), n + 1), pa.int32()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(count)],
                     names=["length", "gram", "context", "suffix", "n"],
                 )
 
@@ -123,133 +103,129 @@ def _count_stretches(train: DataFrame, text: str, least_share: float) -> DataFra
     return train.select(text).mapInArrow(run, "length int, gram long, context long, suffix long, n long")
 
 
-def _count_listed(train: DataFrame, text: str, length: int, grams: np.ndarray) -> DataFrame:
-    """Rows (gram, n) over all training texts, for sorted ``grams`` of one length."""
-    shared = train.sparkSession.sparkContext.broadcast(grams)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        n = np.zeros(len(wanted), np.int64)
-        for batch in small_batches(batches, text):
-            found, place = _grams(*_tokens(batch.column(text)))
-            at, there = _find(wanted, found[length - 1][place >= length - 1])
-            n += np.bincount(at[there], minlength=len(wanted))
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].view(np.int64)), pa.array(n[some])], names=["gram", "n"])
-
-    return train.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def fit(train: DataFrame, text: str = "text", least_share: float = LEAST_SHARE) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, text: str = "text", least: int = LEAST) -> tuple[Model, DataFrame]:
     """The model and the table (token, n) of all training words. NULL texts count as empty: just an end."""
-    found = stash(_count_stretches(train, text, least_share), "pst-counts")
-    words = found.where("length = 1").groupBy(F.col("gram").alias("token")).agg(F.sum("n").alias("n"))
-    words = stash(words, "pst-words")
+    counts = _count_stretches(train, text).groupBy("gram", "length", "context", "suffix").agg(F.sum("n").alias("n"))
+    counts = stash(counts.where((F.col("length") == 1) | (F.col("n") >= least)), "pst-counts")
+    words = counts.where("length = 1").select(F.col("gram").alias("token"), "n")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
-    model = Model(size["tokens"], size["distinct"])
-    least = max(2.0, least_share * model.tokens)
-    frequent = words.where(F.col("n") >= least).orderBy("token").toArrow()
-    keys = frequent.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    model.words, model.counts = keys[order], frequent.column("n").to_numpy()[order]
-
-    # sequences so far, one length at a time: sorted grams, their counts, and their share of what follows their context
-    known = (model.words, model.counts, model.counts / max(model.tokens, 1))
-    for length in range(2, DEPTH + 2):
-        rows = found.where(F.col("length") == length).groupBy("gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix")).toArrow()
-        gram, context, suffix = (rows.column(c).to_numpy().view(np.uint64) for c in ("gram", "context", "suffix"))
-        order = np.argsort(gram)
-        gram, context, suffix = gram[order], context[order], suffix[order]
-        n = np.zeros(len(gram), np.int64)
-        for at in range(0, len(gram), COUNTED_AT_ONCE):
-            part = gram[at : at + COUNTED_AT_ONCE]
-            counted = _count_listed(train, text, length, part).where(F.col("n") >= least).toArrow()
-            where, _ = _find(part, counted.column("gram").to_numpy().view(np.uint64))
-            n[at + where] = counted.column("n").to_numpy()
-        keep = n > 0
-        gram, context, suffix, n = gram[keep], context[keep], suffix[keep], n[keep]
-        known = (gram, n, _keep_contexts(model, known, gram, context, suffix, n))
-    return model, words
-
-
-def _keep_contexts(model: Model, shorter: tuple, gram: np.ndarray, context: np.ndarray, suffix: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Add the contexts one word longer than those so far whose next words diverge from their suffix's. Returns each gram's share.
-
-    ``shorter``: sorted sequences one word shorter, their counts and shares. The divergence is the gain in log likelihood over the
-    suffix, the words not listed taken as one; it must pay for the listed words (half the log of the corpus size each).
+    tokens = max(size["tokens"], 1)
+
+    # each sequence's share of what follows its context
+    occurs = counts.where((F.col("length") <= DEPTH) & (F.col("n") >= least)).select(F.col("gram").alias("context"), F.col("n").alias("occurs"))
+    longer = counts.where("length > 1").join(occurs, "context").withColumn("own", F.col("n") / F.col("occurs"))
+    longer = stash(longer.select("length", "gram", "context", "suffix", "n", "occurs", "own"), "pst-shares")
+    before = longer.where(F.col("length") <= DEPTH).select(F.col("gram").alias("suffix"), F.col("own").alias("before"))
+    before = before.union(words.where(F.col("n") >= least).select("token", F.col("n") / float(tokens)))
+    contexts = stash(_kept_contexts(longer.join(before, "suffix"), tokens), "pst-contexts")
+
+    listed = longer.join(contexts.select("context"), "context", "left_semi")
+    none = F.lit(None)
+    rows = words.select(F.col("token").alias("gram"), "n", none.cast("double").alias("mass"), none.cast("double").alias("share"))
+    rows = rows.union(contexts.select("context", none.cast("long"), "mass", none.cast("double")))
+    rows = rows.union(listed.select("gram", none.cast("long"), none.cast("double"), (F.col("n") - DISCOUNT) / F.col("occurs")))
+    table = rows.groupBy("gram").agg(*[F.max(c).alias(c) for c in ("n", "mass", "share")])
+    return Model(size["tokens"], size["distinct"], stash(table, "pst-table")), words
+
+
+def _kept_contexts(listed: DataFrame, tokens: int) -> DataFrame:
+    """Rows (context, mass) of the contexts whose next words diverge from their suffix's.
+
+    The divergence is the gain in log likelihood over the suffix, the words not listed taken as one; it must pay for the listed
+    words (half the log of the corpus size each).
     """
-    names, own = np.unique(context, return_inverse=True)
-    at, there = _find(shorter[0], names)
-    occurs = np.ones(len(names))
-    occurs[there] = shorter[1][at[there]]
-    at, has = _find(shorter[0], suffix)
-    before = np.full(len(n), 1.0 / max(model.tokens, 1))
-    before[has] = shorter[2][at[has]]
-    share = n / occurs[own]
-    listed = np.bincount(own, minlength=len(names))
-    left = np.maximum(occurs - np.bincount(own, n, len(names)), 0)
-    left_before = np.maximum(1 - np.bincount(own, before, len(names)), 1e-9)
-    gain = np.bincount(own, n * np.log(share / before), len(names)) + left * np.log(np.maximum(left / occurs, 1e-12) / left_before)
-    kept = there & (gain > 0.5 * listed * np.log(max(model.tokens, 2)))
-    mass = (left + DISCOUNT * listed) / occurs
-    model.contexts.append((names[kept], np.clip(mass[kept], 1e-12, 1.0)))
-    good = kept[own]
-    model.listed.append((gram[good], (n[good] - DISCOUNT) / occurs[own[good]]))
-    return share
+    sums = listed.groupBy("context").agg(
+        F.max("occurs").alias("occurs"),
+        F.count("*").alias("listed"),
+        F.sum("n").alias("n"),
+        F.sum("before").alias("before"),
+        F.sum(F.col("n") * F.log(F.col("own") / F.col("before"))).alias("gain"),
+    )
+    sums = sums.withColumn("left", F.greatest(F.col("occurs") - F.col("n"), F.lit(0)))
+    rest = F.greatest(F.col("left") / F.col("occurs"), F.lit(1e-12)) / F.greatest(1 - F.col("before"), F.lit(1e-9))
+    kept = sums.where(F.col("gain") + F.col("left") * F.log(rest) > 0.5 * F.col("listed") * float(np.log(max(tokens, 2))))
+    mass = (F.col("left") + DISCOUNT * F.col("listed")) / F.col("occurs")
+    return kept.select("context", F.least(F.greatest(mass, F.lit(1e-12)), F.lit(1.0)).alias("mass"))
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: key, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability).
-
-    The end of a text counts as a token. NULL text is empty. Rows with equal or NULL keys are scored each for itself.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, row long, n_tokens long, known long, base double, model double, rare array<long>"
-    names = [key, "row", "n_tokens", "known", "base", "model", "rare"]
+def _look_ups(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (gram, spots) of the sequences in a batch of texts, with their length and where they end; and a row (key, row, n_tokens) per text."""
+    spot = pa.struct([("row", pa.int64()), ("place", pa.int32())])
+    names = [key, "row", "n_tokens", "gram", "length", "spots"]
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, row long, n_tokens long, gram long, length int, spots array<struct<row: long, place: int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, row = shared.value, TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
         for batch in small_batches(batches, text):
             tokens, bounds = _tokens(batch.column(text))
             grams, place = _grams(tokens, bounds)
-            at, frequent = _find(m.words, tokens)
-            root = np.ones(len(tokens))
-            root[frequent] = (m.counts[at[frequent]] + 1) / m.total
-            chance = root.copy()
-            # rare words hold the back-off mass only; their root share is joined later
-            active = np.arange(len(tokens))
-            for d, ((contexts, mass), (listed, share)) in enumerate(zip(m.contexts, m.listed, strict=True), 1):
-                active = active[place[active] >= d]
-                at, there = _find(contexts, grams[d - 1][active - 1])
-                here = active[there]
-                chance[here] *= mass[at[there]]
-                at, there = _find(listed, grams[d][here])
-                chance[here[there]] += share[at[there]]
-            starts = bounds[:-1]
-            rare = np.flatnonzero(~frequent)
-            cut = np.searchsorted(rare, bounds).astype(np.int32)
-            size = len(starts)
-            columns = [
-                np.arange(row, row + size),
-                np.diff(bounds),
-                np.add.reduceat(frequent.astype(np.int64), starts),
-                np.add.reduceat(np.log10(root), starts),
-                np.add.reduceat(np.log10(chance), starts),
-            ]
-            lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[rare].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c) for c in columns), lists], names=names)
+            size = len(bounds) - 1
+            ids = np.arange(row, row + size)
             row += size
+            own = np.repeat(ids, np.diff(bounds))
+            # the row of a text meets no sequence; its hash spreads it
+            columns = [batch.column(key), pa.array(ids), pa.array(np.diff(bounds)), pa.array(mix(ids.astype(np.uint64)).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(size, np.int32)), pa.nulls(size, pa.list_(spot))], names=names)
+            for n in range(DEPTH + 1):
+                at = np.flatnonzero(place >= n)
+                if not len(at):
+                    continue
+                at = at[np.argsort(grams[n][at], kind="stable")]
+                new = np.flatnonzero(np.append(True, grams[n][at[1:]] != grams[n][at[:-1]]))
+                gram = grams[n][at[new]].view(np.int64)
+                flat = pa.StructArray.from_arrays([pa.array(own[at]), pa.array(place[at].astype(np.int32))], fields=list(spot))
+                spots = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)).astype(np.int32)), flat)
+                none = pa.nulls(len(gram), pa.int64())
+                columns = [pa.nulls(len(gram), batch.column(key).type), none, none, pa.array(gram), pa.array(np.full(len(gram), n + 1, np.int32)), spots]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select(key, text).mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: key, n_tokens, n_known, train_tokens, base_score and score (log10 of the text's probability).
 
-    rows = stash(docs.select(key, text).mapInArrow(run, schema), "pst-scored")
-    rare = rows.select("row", F.explode("rare").alias("token")).join(words, "token", "left")
-    log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(model.total)))
-    rare = rare.groupBy("row").agg(F.count("n").alias("rare_known"), F.sum(log).alias("rare_score"))
-    none, zero = F.lit(0).cast("long"), F.lit(0.0)
-    return rows.join(rare, "row", "left").select(
+    The end of a text counts as a token. NULL text is empty. Rows with equal or NULL keys are scored each for itself.
+    """
+    found = _look_ups(docs, key, text).withColumnRenamed(key, "pst_key").join(model.table, "gram", "left")
+    found = found.where("length = 0 OR n IS NOT NULL OR mass IS NOT NULL OR share IS NOT NULL")
+    # a word stands, and a listed sequence ends, at its place; a context acts on the place behind
+    here = F.struct(F.lit(0).alias("step"), (F.col("length") - 1).alias("d"), "n", F.lit(None).cast("double").alias("mass"), "share")
+    behind = F.struct(
+        F.lit(1).alias("step"), F.col("length").alias("d"), F.lit(None).cast("long").alias("n"), "mass", F.lit(None).cast("double").alias("share")
+    )
+    found = found.select("pst_key", "row", "n_tokens", F.explode_outer("spots").alias("spot"), here.alias("here"), behind.alias("behind"))
+    found = found.select("*", F.explode(F.array("here", "behind")).alias("hit")).where(
+        "(spot IS NULL AND hit.step = 0) OR hit.n IS NOT NULL OR hit.mass IS NOT NULL OR hit.share IS NOT NULL"
+    )
+    row, place = F.coalesce("row", "spot.row").alias("row"), F.coalesce(F.col("spot.place") + F.col("hit.step"), F.lit(-1)).alias("place")
+    found = found.select("pst_key", row, "n_tokens", place, "hit.d", "hit.n", "hit.mass", "hit.share")
+    steps = range(1, DEPTH + 1)
+    at = found.groupBy("row", "place").agg(
+        F.first("pst_key", ignorenulls=True).alias("pst_key"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.max("n").alias("n"),
+        *[F.max(F.when(F.col("d") == d, F.col(c))).alias(f"{c}{d}") for d in steps for c in ("mass", "share")],
+    )
+    total, word = float(model.total), F.col("place") >= 0
+    root = (F.coalesce("n", F.lit(0)) + 1) / F.lit(total)
+    chance = root
+    for d in steps:
+        chance = chance * F.coalesce(f"mass{d}", F.lit(1.0)) + F.coalesce(f"share{d}", F.lit(0.0)) * F.col(f"mass{d}").isNotNull().cast("double")
+    at = at.select("row", "pst_key", "n_tokens", "n", word.alias("word"), F.log10(root).alias("base"), F.log10(chance).alias("model"))
+    rows = at.groupBy("row").agg(
+        F.first("pst_key", ignorenulls=True).alias(key),
+        F.max("n_tokens").alias("n_tokens"),
+        F.count("n").alias("n_known"),
+        F.count_if("word").alias("hit"),
+        *[F.coalesce(F.sum(F.when(F.col("word"), F.col(c))), F.lit(0.0)).alias(c) for c in ("base", "model")],
+    )
+    unknown = (F.col("n_tokens") - F.col("hit")) * F.lit(float(np.log10(1 / total)))
+    return rows.select(
         key,
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
+        "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_score", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_score", zero)).alias("score"),
+        (F.col("base") + unknown).alias("base_score"),
+        (F.col("model") + unknown).alias("score"),
     )

@@ -121,6 +121,17 @@ def test_suffix_tree_is_the_plain_one(spark, docs, empty):
     assert suffix_tree.score(empty, model, counts).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 12])
+def test_suffix_tree_does_not_depend_on_layout(spark, parts):
+    """A line that stands once in each text, so in many partitions no sequence of it stands twice."""
+    rows = [(i, f"a{i} b{i} licensed under the same terms as ever c{i}") for i in range(12)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(parts, "doc_id")
+    model, counts = suffix_tree.fit(train)
+    got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in suffix_tree.score(train, model, counts).collect())
+    texts = [t for _, t in rows]
+    assert np.allclose(got, sorted(brute_scores(texts, texts, suffix_tree.DEPTH, 0.0)), atol=1e-9)
+
+
 def test_suffix_tree_beats_the_base_on_held_out_texts(spark, sf_dir):
     rows = [r for r in QUERIES["op8_suffix_tree"](spark, sf_dir).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
