@@ -132,6 +132,15 @@ def test_suffix_tree_does_not_depend_on_layout(spark, parts):
     assert np.allclose(got, sorted(brute_scores(texts, texts, suffix_tree.DEPTH, 0.0)), atol=1e-9)
 
 
+def test_suffix_tree_lists_what_occurs_twice_in_a_large_corpus(spark):
+    """Two occurrences among five million tokens."""
+    two = spark.createDataFrame([(1, "p q r s"), (2, "p q r s")], "doc_id long, text string")
+    many = spark.range(10, 110).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x "), 50_000).alias("text"))
+    model, counts = suffix_tree.fit(two.union(many))
+    rows = suffix_tree.score(two, model, counts).collect()
+    assert all(r.train_tokens > 5_000_000 and r.score > r.base_score + 5 for r in rows) and len(rows) == 2
+
+
 def test_suffix_tree_beats_the_base_on_held_out_texts(spark, sf_dir):
     rows = [r for r in QUERIES["op8_suffix_tree"](spark, sf_dir).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
