@@ -141,6 +141,22 @@ def test_suffix_tree_lists_what_occurs_twice_in_a_large_corpus(spark):
     assert all(r.train_tokens > 5_000_000 and r.score > r.base_score + 5 for r in rows) and len(rows) == 2
 
 
+def test_suffix_tree_leaves_sequences_to_the_executors(spark, docs, monkeypatch):
+    """Neither the counts nor the model come to the driver or into a broadcast of its own."""
+
+    def refuse(*_, **__):
+        raise AssertionError("to or from the driver")
+
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(type(docs), name, refuse)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refuse)
+    model, counts = suffix_tree.fit(docs)
+    scored = suffix_tree.score(docs, model, counts)
+    assert {type(v) for k, v in vars(model).items() if k != "table"} == {int}
+    monkeypatch.undo()
+    assert scored.count() == docs.count()
+
+
 def test_suffix_tree_beats_the_base_on_held_out_texts(spark, sf_dir):
     rows = [r for r in QUERIES["op8_suffix_tree"](spark, sf_dir).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
