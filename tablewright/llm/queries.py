@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, imatch, knn_quality, mixing, ngram_join, packing, pq_neardup, secrets, suffix_tree, token_orc
+from tablewright.llm import chat, decontaminate, imatch, knn_quality, mixing, ngram_join, packing, pq_neardup, secrets, suffix_tree, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,50 @@ def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = stash(packing.pieces(table(spark, sf_dir, "documents")), "packing-pieces")
     return packing.pack(cut, order=("doc_id", "piece", "ids_crc32"))
+
+
+def _words(column: str) -> str:
+    """SQL: the words of the decontamination contract."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"regexp_extract_all(translate(coalesce({column}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+LEAKS_SQL = f"""
+WITH texts AS (SELECT doc_id, {_words("text")} AS words FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS words FROM benchmark),
+patterns AS (
+    SELECT DISTINCT item, least(10, len(words)) AS n, array_to_string(words[k : k + least(10, len(words)) - 1], ' ') AS pattern
+    FROM items, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS t(k) WHERE len(words) > 0
+),
+places AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k, len(words) AS n_words FROM texts),
+ahead AS (
+    SELECT doc_id, k, n_words, [word, {", ".join(f"lead(word, {j}) OVER w" for j in range(1, 10))}] AS next
+    FROM places WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+),
+windows AS (
+    SELECT doc_id, k, n, array_to_string(next[1 : n], ' ') AS pattern FROM ahead, (SELECT DISTINCT n FROM patterns) WHERE k + n - 1 <= n_words
+),
+found AS (SELECT w.doc_id, w.k, w.n, p.item FROM windows AS w JOIN patterns AS p ON w.pattern = p.pattern AND w.n = p.n),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM found) GROUP BY doc_id),
+leaked AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN leaked USING (doc_id)
+"""
+
+
+@query("op11_aho_corasick_leaks", LEAKS_SQL)
+def op11_aho_corasick_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the words inside benchmark passages and the items they come from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "leaks.n_words",
+        "leaks.n_hit",
+        F.size("leaks.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leaks.items", ","), 256).alias("items_sha256"),
+        (F.col("leaks.n_hit") > 0).alias("contaminated"),
+    )
