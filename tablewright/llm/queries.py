@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, decontaminate, imatch, knn_quality, mixing, ngram_join, packing, pq_neardup, secrets, suffix_tree, token_orc
+from tablewright.llm import chat, decontaminate, imatch, knn_quality, mixing, ngram_join, packing, pivot_codes, pq_neardup, secrets, suffix_tree, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,54 @@ def op11_aho_corasick_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("leaks.items", ","), 256).alias("items_sha256"),
         (F.col("leaks.n_hit") > 0).alias("contaminated"),
     )
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """SQL: every distance of parts and entries in each round, without bounds."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+    SELECT vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+)""",
+        f"""parts AS MATERIALIZED (
+    SELECT vec_id, i // width AS part, i % width AS place, x
+    FROM (SELECT vec_id, len(v) // {parts} AS width, unnest(v) AS x, unnest(range(0, len(v))) AS i FROM kept)
+)""",
+        f"""first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {entries})""",
+        """book0 AS MATERIALIZED (SELECT part, entry, place, x FROM parts JOIN first USING (vec_id))""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+    SELECT vec_id, part, min(distance * {entries} + entry) AS best
+    FROM (
+        SELECT p.vec_id, p.part, b.entry, CAST(sum((p.x - b.x) * (p.x - b.x)) AS BIGINT) AS distance
+        FROM parts AS p JOIN book{r} AS b ON p.part = b.part AND p.place = b.place GROUP BY ALL
+    ) GROUP BY ALL
+)""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, b.place, coalesce(m.x, b.x) AS x FROM book{r} AS b LEFT JOIN (
+        SELECT part, best % {entries} AS entry, place, CAST((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+        FROM near{r} JOIN parts USING (vec_id, part) GROUP BY ALL
+    ) AS m USING (part, entry, place)
+)""")
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best % {entries}), '' ORDER BY part) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+@query("op12_pivot_codes", _codes_sql())
+def op12_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors with their errors, and the errors of each label together."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    coded = stash(pivot_codes.compress(vectors), "vector-codes")
+    labels = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    joined = coded.join(labels, F.col("label").eqNullSafe(F.col("_label")))
+    return joined.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
