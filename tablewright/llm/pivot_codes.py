@@ -196,7 +196,7 @@ def fit(table: DataFrame, books: dict[int, Books], rounds: int) -> dict[int, Boo
 
 
 def prepare(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", parts: int = 4, entries: int = 256, scale: int = 1024, pivots: int = 8
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", parts: int = 4, entries: int = 256, scale: int = 1024, pivots: int = 16
 ) -> tuple[DataFrame, dict[int, Books]]:
     """The vectors that count, written once in whole numbers with their distances to the pivots, and the first books by length.
 
@@ -239,7 +239,7 @@ def prepare(
 
 
 def compress(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024, pivots: int = 8
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024, pivots: int = 16
 ) -> DataFrame:
     """``vectors`` with ``code`` (two hex digits a part), ``error`` (squared distance to the coded vector, in whole numbers) and
     ``codebooks_sha256`` in place of the vector.

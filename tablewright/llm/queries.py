@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, decontaminate, imatch, knn_quality, mixing, ngram_join, packing, pivot_codes, pq_neardup, secrets, suffix_tree, token_orc
+from tablewright.llm import align, chat, decontaminate, imatch, knn_quality, mixing, ngram_join, packing, pivot_codes, pq_neardup, secrets, suffix_tree, token_orc
 from tablewright.storage import scratch_path, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,3 +241,12 @@ def op12_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
     joined = coded.join(labels, F.col("label").eqNullSafe(F.col("_label")))
     return joined.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op13_pointer_jumping_align")
+def op13_pointer_jumping_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its tokens by both tokenizers, their groups and links, and the corpus-wide counts of the links."""
+    docs = align.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    groups = F.col("aligned.groups")
+    numbers = [f"aligned.{c}" for c in (*align.COUNTS, "n_best", "count_sum")]
+    return docs.select("doc_id", *numbers, F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"))

@@ -40,6 +40,22 @@ def encoder(path: str, end_id: int | None = 2) -> Encoder:
     return _encoders[key]
 
 
+def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches between cuts: before each single space between two characters that are not white space, and between texts."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(data == 32)
+    at = at[(at > 0) & (at < len(data) - 1)]
+    before, after = data[at - 1], data[at + 1]
+    good = ~(MAYBE_SPACE[before] | MAYBE_SPACE[after])
+    good &= ~((before >= 128) & (MAYBE_SPACE[data[np.maximum(at - 2, 0)]] | MAYBE_SPACE[data[np.maximum(at - 3, 0)]]))
+    cut = np.zeros(len(data) + 1, bool)
+    cut[at[good]] = True
+    cut[bounds] = True
+    starts = np.flatnonzero(cut[:-1])
+    return starts, np.append(starts[1:], len(data))
+
+
 class Encoder:
     """Ids of many texts at once. ``end_id``, where given, follows every text."""
 
@@ -64,7 +80,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``data``, ``bounds``: as ``hashing.text_bytes`` gives them. All ids in a row, and the bounds of each text."""
-        starts, ends = self._segments(data, bounds)
+        starts, ends = segments(data, bounds)
         rows = len(bounds) - 1
         first = np.searchsorted(starts, bounds)
         first[-1] = len(starts)
@@ -91,20 +107,6 @@ class Encoder:
             self._forget()
         return ids, total[first]
 
-    def _segments(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(data):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.flatnonzero(data == 32)
-        at = at[(at > 0) & (at < len(data) - 1)]
-        before, after = data[at - 1], data[at + 1]
-        good = ~(MAYBE_SPACE[before] | MAYBE_SPACE[after])
-        good &= ~((before >= 128) & (MAYBE_SPACE[data[np.maximum(at - 2, 0)]] | MAYBE_SPACE[data[np.maximum(at - 3, 0)]]))
-        cut = np.zeros(len(data) + 1, bool)
-        cut[at[good]] = True
-        cut[bounds] = True
-        starts = np.flatnonzero(cut[:-1])
-        return starts, np.append(starts[1:], len(data))
-
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         # plain segments (a space, then no white space) are joined: in their ids a space opens each one and nothing else
         spaces = np.zeros(len(data) + 1, np.int64)
