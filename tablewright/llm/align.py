@@ -15,7 +15,7 @@ to all workers, a second pass adds them up per text; otherwise the texts' pairs
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tablewright.llm.hashing import small_batches, span_hashes, text_bytes
-from tablewright.llm.tokens import default_tokenizer, segments
+from tablewright.llm.tokens import MAYBE_SPACE, default_tokenizer, segments
 from tablewright.storage import stash
 
 #: pairs of ids that are sent to all workers (17 bytes each); more are joined
 MAX_PAIRS = 2_000_000
 #: segments and links that a worker keeps
-MAX_KEPT, MAX_LINKS = 300_000, 3_000_000
+MAX_KEPT, MAX_LINKS = 600_000, 6_000_000
+#: segments that are tokenised as one text
+JOINED = 200
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 ALIGNED = StructType([StructField(c, LongType()) for c in (*COUNTS, "n_best", "count_sum")] + [StructField("groups", StringType())])
@@ -65,11 +67,23 @@ class Vocabulary:
             sizes[i] = len(token)
         self.sizes, self._at = sizes, np.cumsum(sizes) - sizes
         self._bytes = np.frombuffer(b"".join(tokens[i] for i in sorted(tokens)), np.uint8)
+        #: the first byte of each id, 0 where it has none
+        self.first = np.where(sizes > 0, self._bytes[np.minimum(self._at, len(self._bytes) - 1)], 0)
+        # each id in decimal digits
+        digits = [str(i).encode() for i in range(len(sizes))]
+        self._said_sizes = np.fromiter(map(len, digits), np.int64, len(digits))
+        self._said_at = np.cumsum(self._said_sizes) - self._said_sizes
+        self._said = np.frombuffer(b"".join(digits), np.uint8)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         size = self.sizes[ids]
         return self._bytes[np.repeat(self._at[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
+    def decimal(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Digits of all ids in a row, and the number of each."""
+        size = self._said_sizes[ids]
+        return self._said[np.repeat(self._said_at[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
     def spell(self, ids: np.ndarray, number: np.ndarray, said: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Whether the tokens of each stretch (``number`` ids) give its bytes (``sizes`` of those said)."""
         whole = np.diff(np.append(0, np.cumsum(self.sizes[ids]))[np.append(0, np.cumsum(number))]) == sizes
@@ -79,6 +93,31 @@ class Vocabulary:
         return whole
 
 
+def _encoded(call: Callable[[list[str]], list[list[int]]], texts: list[bytes], plain: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all stretches in a row, and the number of each. Plain ones, a space and then none, are tokenised together: in their ids a space opens each one and nothing else."""
+    number = np.zeros(len(texts), np.int64)
+    at = np.flatnonzero(plain)
+    blocks = [at[i : i + JOINED] for i in range(0, len(at), JOINED)]
+    found, order, alone = [], [], [np.flatnonzero(~plain)]
+    for block, ids in zip(blocks, call([b"".join([texts[i] for i in block]).decode("utf-8", "replace") for block in blocks]), strict=True):
+        ids = np.array(ids, np.int64)
+        heads = np.flatnonzero(opens[ids])
+        if len(heads) == len(block) and heads[0] == 0:
+            number[block] = np.diff(heads, append=len(ids))
+            found.append(ids)
+            order.append(block)
+        else:
+            alone.append(block)
+    rest = np.concatenate(alone)
+    single = call([texts[i].decode("utf-8", "replace") for i in rest])
+    number[rest] = np.fromiter(map(len, single), np.int64, len(single))
+    order, flat = np.concatenate([*order, rest]), np.concatenate([*found, *(np.array(ids, np.int64) for ids in single), np.zeros(0, np.int64)])
+    # back into the order of the stretches
+    size, start = number[order], np.zeros(len(texts), np.int64)
+    start[order] = np.cumsum(size) - size
+    return flat[np.repeat(start - (np.cumsum(number) - number), number) + np.arange(number.sum())], number
+
+
 def jump(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of two rows of tokens over the same bytes, given by their ascending ends: the last token of each token's group, as a place in the second row."""
     a_starts, b_starts = np.append(0, a_ends[:-1]), np.append(0, b_ends[:-1])
@@ -117,20 +156,22 @@ class Aligner:
                 for i, p in enumerate(pieces)
             }
         )
+        # ids that begin with a space
+        self._a_opens, self._b_opens = self._a_words.first == 32, self._b_words.first == 32
         self.generation = 0
         self._forget()
 
     def _forget(self) -> None:
         self.generation += 1
-        self._places: dict[int, int] = {}
+        self._keys, self._at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self._pairs: dict[int, int] = {}
         #: a << 32 | b of each pair of ids met
         self.pair_keys = np.zeros(0, np.int64)
         self.whole = np.zeros(0, bool)
-        self.counts = np.zeros((0, len(COUNTS)), np.int64)
+        self.counts = np.zeros((0, len(COUNTS)), np.int32)
         self.groups: list[str] = []
         #: linked pairs of each segment, as places in ``pair_keys``
-        self.links, self.bounds = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.links, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def places(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Places of the segments of all texts in a row, and the bounds of each text; none for texts without tokens."""
@@ -141,13 +182,16 @@ class Aligner:
         starts, ends = segments(data, bounds)
         keys = span_hashes(data, starts, ends, lower=False)
         distinct, sample, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        known = [self._places.get(k, -1) for k in distinct.tolist()]
-        place = np.array(known, np.int64)
-        new = np.flatnonzero(place < 0)
+        at = np.searchsorted(self._keys, distinct)
+        known = at < len(self._keys)
+        known[known] = self._keys[at[known]] == distinct[known]
+        place = np.empty(len(distinct), np.int64)
+        place[known] = self._at[at[known]]
+        new = np.flatnonzero(~known)
         if len(new):
             place[new] = np.arange(len(self.groups), len(self.groups) + len(new))
             self._learn(data, starts[sample[new]], ends[sample[new]])
-            self._places.update(zip(distinct[new].tolist(), place[new].tolist(), strict=True))
+            self._keys, self._at = np.insert(self._keys, at[new], distinct[new]), np.insert(self._at, at[new], place[new])
         found = place[inverse]
         first = np.append(np.searchsorted(starts, bounds[:-1]), len(starts))
         # a text that is empty, or not what its tokens say, has none
@@ -159,47 +203,61 @@ class Aligner:
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = data.tobytes()
-        texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        a_ids = [f.ids for f in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        texts = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        spaces = np.append(0, np.cumsum(MAYBE_SPACE[data]))
+        plain = (spaces[ends] - spaces[starts] == 1) & (ends - starts > 1)
+        a, a_number = _encoded(lambda found: [f.ids for f in self._a.encode_batch_fast(found, add_special_tokens=False)], texts, plain, self._a_opens)
         # this tokenizer adds the leading space itself
-        b_ids = self._b.encode([t[1:] for t in texts], num_threads=1)
-        a_number, b_number = (np.fromiter(map(len, found), np.int64, len(found)) for found in (a_ids, b_ids))
-        a, b = (np.fromiter((i for ids in found for i in ids), np.int64, n.sum()) for found, n in ((a_ids, a_number), (b_ids, b_number)))
-        said = np.frombuffer(b"".join([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]), np.uint8)
+        b, b_number = _encoded(lambda found: self._b.encode([t[1:] for t in found], num_threads=1), texts, plain, self._b_opens)
+        said = np.frombuffer(b"".join(texts), np.uint8)
         whole = self._a_words.spell(a, a_number, said, ends - starts) & self._b_words.spell(b, b_number, said, ends - starts)
         a, b = a[np.repeat(whole, a_number)], b[np.repeat(whole, b_number)]
         a_number, b_number = a_number * whole, b_number * whole
         a_ends, b_ends = np.cumsum(self._a_words.sizes[a]), np.cumsum(self._b_words.sizes[b])
-        if len(a):
-            _, last = jump(a_ends, b_ends)
-            group_ends = np.flatnonzero(last == np.arange(len(b)))
-            a_group_ends = np.searchsorted(a_ends, b_ends[group_ends])
-        else:
-            group_ends = a_group_ends = np.zeros(0, np.int64)
         # of each token of the first row the tokens of the second that it overlaps
         a_starts, b_starts = a_ends - self._a_words.sizes[a], b_ends - self._b_words.sizes[b]
         low, high = np.searchsorted(b_ends, a_starts, "right"), np.searchsorted(b_starts, a_ends, "left")
         size = high - low
         second = b[np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        keys = np.repeat(a, size) << 32 | second
-        distinct, inverse = np.unique(keys, return_inverse=True)
+        distinct, inverse = np.unique(np.repeat(a, size) << 32 | second, return_inverse=True)
         places = [self._pairs.setdefault(k, len(self._pairs)) for k in distinct.tolist()]
-        self.pair_keys = np.append(self.pair_keys, [k for k, p in zip(distinct.tolist(), places, strict=True) if p >= len(self.pair_keys)]).astype(np.int64)
-        self.links = np.append(self.links, np.array(places, np.int64)[inverse])
+        self.pair_keys = np.append(self.pair_keys, np.zeros(len(self._pairs) - len(self.pair_keys), np.int64))
+        self.pair_keys[places] = distinct
+        self.links = np.append(self.links, np.array(places, np.int32)[inverse])
         upto = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(a_number))]
         self.bounds = np.append(self.bounds, self.bounds[-1] + upto[1:])
-        # groups belong to the segment that holds their last token
-        owner = np.searchsorted(np.cumsum(b_number), group_ends, "right")
-        n_groups = np.bincount(owner, minlength=len(texts))
-        self.counts = np.concatenate([self.counts, np.stack([a_number, b_number, n_groups, np.diff(upto)], axis=1)])
+        groups, n_groups = self._grouped(a, b, a_ends, b_ends, b_number)
+        self.groups += groups
+        self.counts = np.concatenate([self.counts, np.stack([a_number, b_number, n_groups, np.diff(upto)], axis=1).astype(np.int32)])
         self.whole = np.append(self.whole, whole)
-        a_said, b_said = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        said, a_at, b_at = [], 0, 0
-        for a_end, b_end in zip((a_group_ends + 1).tolist(), (group_ends + 1).tolist(), strict=True):
-            said.append(",".join(a_said[a_at:a_end]) + "|" + ",".join(b_said[b_at:b_end]))
-            a_at, b_at = a_end, b_end
-        at = np.append(0, np.cumsum(n_groups)).tolist()
-        self.groups += [";".join(said[s:e]) for s, e in zip(at[:-1], at[1:], strict=True)]
+
+    def _grouped(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, b_number: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The groups of each stretch, written out, and their number."""
+        if not len(a):
+            return [""] * len(b_number), np.zeros(len(b_number), np.int64)
+        a_last, b_last = jump(a_ends, b_ends)
+        last = np.flatnonzero(b_last == np.arange(len(b)))
+        # a group's ids of the first tokenizer stand before those of the second, the last of each side has its own sign behind it
+        a_group, b_group = np.searchsorted(last, a_last), np.searchsorted(last, b_last)
+        a_to, b_to = np.searchsorted(b_group, a_group, "left") + np.arange(len(a)), np.searchsorted(a_group, b_group, "right") + np.arange(len(b))
+        signs, sizes = np.full(len(a) + len(b), ord(","), np.uint8), np.empty(len(a) + len(b), np.int64)
+        signs[a_to[np.append(np.flatnonzero(np.diff(a_group)), len(a) - 1)]] = ord("|")
+        signs[b_to[last]] = ord(";")
+        (a_said, sizes[a_to]), (b_said, sizes[b_to]) = self._a_words.decimal(a), self._b_words.decimal(b)
+        first = np.zeros(len(signs), bool)
+        first[a_to] = True
+        stops = np.cumsum(sizes + 1)
+        out = np.empty(stops[-1], np.uint8)
+        out[stops - 1] = signs
+        digit = np.ones(len(out), bool)
+        digit[stops - 1] = False
+        side = np.repeat(first, sizes + 1)
+        out[digit & side], out[digit & ~side] = a_said, b_said
+        # groups belong to the stretch of their last token
+        upto = np.cumsum(b_number)
+        at = np.append(0, np.append(0, stops[b_to])[upto]).tolist()
+        raw = out.tobytes().decode()
+        return [raw[s : e - 1] if e > s else "" for s, e in zip(at[:-1], at[1:], strict=True)], np.bincount(np.searchsorted(upto, last, "right"), minlength=len(b_number))
 
     def text_pairs(self, places: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each pair that a text links, once a text: row, place of the pair, how often it is linked."""
