@@ -25,8 +25,11 @@ from tablewright.operators.quality import (
     check_sql,
     check_unique,
     duplicate_keys,
+    observe_faults,
+    observed_checks,
     raise_on_failure,
     run_checks,
+    table_faults,
 )
 from tablewright.operators.rollup import roll_up, row_counts
 
@@ -53,6 +56,8 @@ __all__ = [
     "monotonic_key",
     "music_history",
     "natural_join",
+    "observe_faults",
+    "observed_checks",
     "project",
     "raise_on_failure",
     "roll_up",
@@ -60,6 +65,7 @@ __all__ = [
     "run_checks",
     "sequence_key",
     "song_playlist_session",
+    "table_faults",
     "table_upsert",
     "user_history",
 ]

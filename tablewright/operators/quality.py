@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.rollup import row_counts
@@ -64,6 +64,28 @@ def _length_faults(limits: Mapping[str, int]) -> dict[str, tuple[Column, str]]:
     return {f"length({c}<={n})": (F.coalesce(F.length(c) > n, F.lit(False)), "too long") for c, n in limits.items()}
 
 
+def table_faults(not_null: Sequence[str] = (), limits: Mapping[str, int] | None = None) -> dict[str, tuple[Column, str]]:
+    """Conditions that no row may meet, by check name, each with what its rows are called."""
+    return _null_faults(not_null) | _length_faults(limits or {})
+
+
+def observe_faults(df: DataFrame, faults: Mapping[str, tuple[Column, str]]) -> tuple[DataFrame, Observation]:
+    """``df`` to be written, and what is counted while it is: all rows as ``n`` and those of each fault. The table need not be scanned for it.
+
+    Observe the frame just before it is written, above every shuffle: tasks of the last stage count once, however often executors are lost.
+    """
+    seen = Observation()
+    counts = [F.count_if(condition).alias(check) for check, (condition, _) in faults.items()]
+    return df.observe(seen, F.count("*").alias("n"), *counts), seen
+
+
+def observed_checks(spark: SparkSession, counts: Mapping[str, int], faults: Mapping[str, tuple[Column, str]], name: str) -> DataFrame:
+    """The rows that ``run_checks`` gives for non-empty tables, NULLs and lengths, from counts that are known already."""
+    rows = [_result(name, "non_empty", F.lit(counts["n"] > 0), f"{counts['n']} rows")]
+    rows += [_result(name, check, F.lit(counts[check] == 0), f"{counts[check]} {noun}") for check, (_, noun) in faults.items()]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*[F.struct(*row) for row in rows])))
+
+
 def check_not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """None of the columns holds a NULL."""
     return _one_pass(df, _null_faults(columns), name)
@@ -107,19 +129,23 @@ def run_checks(
     not_null: Mapping[str, Sequence[str]] | None = None,
     limits: Mapping[str, Mapping[str, int]] | None = None,
     extra: Sequence[Callable[[DataFrame, str], DataFrame]] = (),
+    counts: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
     """Check written tables ``base/<table>`` and report one row per check.
 
     Each table must be non-empty and without repeated rows; ``extra`` checks are run on each as well.
     ``keys``, ``not_null`` and ``limits`` (text lengths) add checks for the tables they name.
-    A table is scanned twice: once for counts, NULLs and lengths, once for repeated rows and keys.
+    A table is scanned twice: once for counts, NULLs and lengths, once for repeated rows and keys. Tables in ``counts``, counted while
+    they were written (``observe_faults``), are scanned for repeated rows and keys only.
     """
     results = []
     for table in tables:
         df = spark.read.parquet(f"{base.rstrip('/')}/{table}")
         key = list((keys or {}).get(table, ()))
-        faults = _null_faults((not_null or {}).get(table, ())) | _length_faults((limits or {}).get(table, {}))
-        results += [_one_pass(df, faults, table, non_empty=True), _check_keyed(df, key, table) if key else check_unique(df, table)]
+        faults = table_faults((not_null or {}).get(table, ()), (limits or {}).get(table, {}))
+        known = (counts or {}).get(table)
+        counted = _one_pass(df, faults, table, non_empty=True) if known is None else observed_checks(spark, known, faults, table)
+        results += [counted, _check_keyed(df, key, table) if key else check_unique(df, table)]
         results += [check(df, table) for check in extra]
     return reduce(DataFrame.unionAll, results)
 

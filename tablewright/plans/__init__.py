@@ -2,7 +2,7 @@
 
 from tablewright.plans.lake import build_lake, lake_tables
 from tablewright.plans.lookup_tables import build_lookups, consolidate, lookup_tables
-from tablewright.plans.star import PROFILES, StarProfile, build_star, check_star, star_tables
+from tablewright.plans.star import PROFILES, StarProfile, build_star, check_star, star_counts, star_tables
 
 __all__ = [
     "PROFILES",
@@ -14,5 +14,6 @@ __all__ = [
     "consolidate",
     "lake_tables",
     "lookup_tables",
+    "star_counts",
     "star_tables",
 ]

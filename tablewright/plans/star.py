@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import partial
-from uuid import uuid4
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright import schemas
@@ -32,12 +31,15 @@ from tablewright.operators import (
     lookup_one,
     monotonic_key,
     natural_join,
+    observe_faults,
     raise_on_failure,
     run_checks,
     sequence_key,
+    table_faults,
 )
 from tablewright.sources import write_table
-from tablewright.storage import remove_path, replace_path, run_together, stash
+from tablewright.sources.ledger import APPEND, OVERWRITE, Load, finish_loads, loaded, observed_mark, table_records
+from tablewright.storage import exists, run_together, stash
 
 EVENT_ORDER = ("ts", "sessionId", "itemInSession")
 CATALOGUE_ORDER = ("song_id", "title", "duration")
@@ -328,11 +330,6 @@ def _keyed(
     return fact.select(*schemas.STAR_COLUMNS["songplays"], *[extra[c].alias(c) for c in profile.fact_calendar])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def _merge_known(table: str, new: DataFrame, known: DataFrame, profile: StarProfile) -> DataFrame | None:
     """Upsert dimensions: the rows already in the table count as seen before the new ones."""
     rows = known.withColumn("_seen", F.lit(0)).unionByName(new.withColumn("_seen", F.lit(1)))
@@ -345,17 +342,44 @@ def _merge_known(table: str, new: DataFrame, known: DataFrame, profile: StarProf
     return None
 
 
-def check_star(spark: SparkSession, out: str, profile: StarProfile | str, limits: bool = False) -> DataFrame:
-    """Check report of written tables: the declared keys, required columns and, if asked, text lengths."""
-    profile = PROFILES[profile] if isinstance(profile, str) else profile
+def _unseen(new: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of a distinct dimension that the table does not hold yet; NULLs are equal."""
+    old = known.select(*[F.col(c).alias(f"_known_{c}") for c in new.columns])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in new.columns])
+    return new.join(old, same, "left_anti")
+
+
+def _required(profile: StarProfile, limits: bool) -> tuple[dict, dict, dict]:
+    """Per table, in the profile's names: key, columns that must not be NULL, text lengths."""
     keys, required, lengths = {}, {}, {}
     for table, columns in schemas.STAR_COLUMNS.items():
         name = dict(zip(columns, profile.columns[table], strict=True))
         keys[table] = [name[c] for c in schemas.PRIMARY_KEYS[table]]
         required[table] = keys[table] + [name[c] for c in schemas.REQUIRED[table]]
-        if limits:
-            lengths[table] = {name[c]: n for c, n in schemas.TEXT_LIMITS.get(table, {}).items()}
-    return run_checks(spark, out, list(schemas.STAR_COLUMNS), keys, required, lengths)
+        lengths[table] = {name[c]: n for c, n in schemas.TEXT_LIMITS.get(table, {}).items()} if limits else {}
+    return keys, required, lengths
+
+
+def check_star(
+    spark: SparkSession, out: str, profile: StarProfile | str, limits: bool = False, counts: Mapping[str, Mapping[str, int]] | None = None
+) -> DataFrame:
+    """Check report of written tables: the declared keys, required columns and, if asked, text lengths.
+
+    ``counts`` are those that ``build_star`` took while it wrote (``star_counts``); the tables are then scanned once, for their keys.
+    """
+    profile = PROFILES[profile] if isinstance(profile, str) else profile
+    return run_checks(spark, out, list(schemas.STAR_COLUMNS), *_required(profile, limits), counts=counts)
+
+
+def star_counts(spark: SparkSession, out: str) -> dict[str, dict[str, int]]:
+    """Rows and faults of the tables in ``out``, added up over the loads that the ledger holds."""
+    totals: dict[str, dict[str, int]] = {}
+    for table in schemas.STAR_COLUMNS:
+        for record in table_records(spark, out, table):
+            own = totals.setdefault(table, {})
+            for check, number in record["counts"][table].items():
+                own[check] = own.get(check, 0) + number
+    return totals
 
 
 def build_star(
@@ -369,31 +393,52 @@ def build_star(
     check: bool = False,
     event_order: Sequence[str] = EVENT_ORDER,
     catalogue_order: Sequence[str] = CATALOGUE_ORDER,
+    load: str | None = None,
 ) -> DataFrame:
     """Stage, write the tables, then check; returns the check report.
 
-    ``fresh`` rebuilds the tables. Without it a profile that appends adds to the tables in ``out``:
-    keys go on after the last one and upserted dimensions absorb the new rows. A profile that looks plays up writes
-    songs and artists first and looks them up in the written tables, so plays also match what earlier loads brought.
+    ``fresh`` rebuilds the tables. Without it a profile that appends adds to the tables in ``out``: keys go on after the last one, upserted
+    dimensions absorb the new rows, distinct ones take the rows they lack. A profile that looks plays up matches them with all songs and
+    artists known, so plays also match what earlier loads brought.
+
+    ``load`` names the load, by default after its rows. A load that the ledger in ``out`` holds is not run again: a schedule may retry it,
+    and the same rows are added twice only under another name. All tables are written aside and put in place together,
+    by renames; what a load leaves that breaks off is finished or dropped by the next one.
     ``hot_share`` looks for songs with at least that share of plays and salts them in the match. ``check`` raises on
-    failures. A table that is replaced is written aside first and then put in the place of the old one.
+    failures. Rows, NULLs and lengths are counted while the tables are written; the checks scan them for keys only.
     """
     profile = PROFILES[profile] if isinstance(profile, str) else profile
     out = out.rstrip("/")
-    append = profile.load_mode == "append" and not fresh and _exists(spark, f"{out}/songplays")
-    events, catalogue = run_together(
-        spark,
-        [
-            partial(stash, events, "staging_events", f"{out}/staging_events"),
-            partial(stash, catalogue, "staging_songs", f"{out}/staging_songs"),
-        ],
-    )
+    finish_loads(spark, out)
+    append = profile.load_mode == "append" and not fresh and exists(spark, f"{out}/songplays")
+
+    def report() -> DataFrame:
+        found = check_star(spark, out, profile, counts=star_counts(spark, out))
+        if check:
+            raise_on_failure(found)
+        return found
+
+    if append and load is not None and loaded(spark, out, load):
+        return report()
+    marks = []
+    staged = []
+    for df, name in ((events, "staging_events"), (catalogue, "staging_songs")):
+        df, mark = observed_mark(df)
+        marks.append(mark)
+        staged.append(partial(stash, df, name, f"{out}/{name}"))
+    events, catalogue = run_together(spark, staged)
+    if load is None:
+        load = " ".join(str(value) for mark in marks for value in mark.get.values())
+    if append and loaded(spark, out, load):
+        return report()
     hot: Sequence[int] = ()
     if hot_share:
         match_keys = ["song", "artist"] + ["length"] * profile.match_length
         hot = hot_keys(_plays(_typed_events(events, profile), profile), match_keys, hot_share)
     names = {t: dict(zip(schemas.STAR_COLUMNS[t], profile.columns[t], strict=True)) for t in schemas.STAR_COLUMNS}
-    aside = f"{out}/_next-{uuid4().hex}"
+    this = Load(spark, out, load, fresh=not append)
+    _, required, lengths = _required(profile, limits=True)
+    seen: dict[str, Observation] = {}
 
     def write(table: str, df: DataFrame, mode: str) -> None:
         renamed = df.select(*[F.col(c).alias(names[table].get(c, c)) for c in df.columns])
@@ -401,55 +446,58 @@ def build_star(
         # a hot song spans files
         sort = [names[table][c] for c in ("start_time", "songplay_id") if c in df.columns] if cluster else []
         sort = [c for c in sort if c not in cluster]
-        target = f"{out}/{table}" if mode == "append" else f"{aside}/{table}"
-        write_table(renamed, target, profile.partitions.get(table, ()), cluster, sort, mode=mode)
-        if mode != "append":
-            replace_path(spark, target, f"{out}/{table}")
 
-    def written(table: str) -> DataFrame:
-        df = spark.read.parquet(f"{out}/{table}")
+        def observe(rows: DataFrame) -> DataFrame:
+            rows, seen[table] = observe_faults(rows, table_faults(required[table], lengths[table]))
+            return rows
+
+        write_table(renamed, this.path(table, mode), profile.partitions.get(table, ()), cluster, sort, observe=observe)
+
+    def neutral(table: str, path: str) -> DataFrame:
+        df = spark.read.parquet(path)
         back = {new: old for old, new in names[table].items()}
         return df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns])
 
+    def written(table: str) -> DataFrame:
+        """A table as it will be with this load."""
+        new = neutral(table, f"{this.aside}/{table}")
+        return neutral(table, f"{out}/{table}").unionByName(new) if this.modes[table] == APPEND else new
+
     key_start = None
     if append and profile.key in ("serial", "identity"):
-        last = written("songplays").agg(F.max("songplay_id")).first()[0]
+        last = neutral("songplays", f"{out}/songplays").agg(F.max("songplay_id")).first()[0]
         key_start = None if last is None else last + 1
-    mode = "append" if append else "overwrite"
     options = {"event_order": event_order, "catalogue_order": catalogue_order, "hot": hot}
 
-    def load(table: str, rows: DataFrame) -> None:
-        merged = None
-        if append and table != "time":
-            merged = _merge_known(table, rows, written(table).select(*rows.columns), profile)
-        if merged is None:
-            write(table, rows, mode)
-        else:
-            write(table, merged.select(*rows.columns), "overwrite")
-
-    def load_all(tables: dict[str, DataFrame]) -> None:
-        run_together(spark, [partial(load, table, rows) for table, rows in tables.items()])
+    def put(table: str, rows: DataFrame) -> None:
+        if not append:
+            write(table, rows, OVERWRITE)
+            return
+        if table not in ("songplays", "time"):
+            known = neutral(table, f"{out}/{table}").select(*rows.columns)
+            merged = _merge_known(table, rows, known, profile)
+            if merged is not None:
+                write(table, merged.select(*rows.columns), OVERWRITE)
+                return
+            if getattr(profile, table) == "distinct":
+                rows = _unseen(rows, known)
+        write(table, rows, APPEND)
+
+    def put_all(tables: dict[str, DataFrame]) -> None:
+        run_together(spark, [partial(put, table, rows) for table, rows in tables.items()])
 
     first = ["songs", "artists"] if profile.match == "lookup" else []
     known = None
     if first:
-        load_all(star_tables(events, catalogue, profile, only=first, **options))
+        put_all(star_tables(events, catalogue, profile, only=first, **options))
         known = written("songs"), written("artists")
-    numbering = f"{out}/_numbering"
     fact = star_tables(
-        events, catalogue, profile, only=["songplays"], key_start=key_start, key_path=numbering, known=known, **options
+        events, catalogue, profile, only=["songplays"], key_start=key_start, key_path=f"{this.aside}/_numbering", known=known, **options
     )
-    write("songplays", fact["songplays"], mode)
+    put("songplays", fact["songplays"])
     # the calendar reads this load's rows back from the written fact
-    loaded = written("songplays")
-    if key_start is not None:
-        loaded = loaded.filter(F.col("songplay_id") >= key_start)
+    new_plays = neutral("songplays", f"{this.aside}/songplays")
     rest = [t for t in ("users", "songs", "artists", "time") if t not in first]
-    load_all(star_tables(events, catalogue, profile, only=rest, fact=loaded, **options))
-    for leftover in (numbering, aside):
-        remove_path(spark, leftover)
-
-    report = check_star(spark, out, profile)
-    if check:
-        raise_on_failure(report)
-    return report
+    put_all(star_tables(events, catalogue, profile, only=rest, fact=new_plays, **options))
+    this.publish({"counts": {table: mark.get for table, mark in seen.items()}})
+    return report()

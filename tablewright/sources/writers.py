@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ def write_table(
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
     touched_only: bool = False,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write Parquet. Overwriting replaces the whole table, or with ``touched_only`` just the partitions in ``df``.
 
@@ -27,6 +28,8 @@ def write_table(
 
     ``cluster_by`` range-partitions by key so that a point read touches few files; ``sort_by`` orders
     rows within a key. Both are range columns, so a hot key spreads over several files.
+
+    ``observe`` gets the rows as they are written, to attach ``DataFrame.observe`` to them.
     """
     if cluster_by:
         keys = [*partition_by, *cluster_by, *sort_by]
@@ -37,6 +40,8 @@ def write_table(
             df = df.sortWithinPartitions(*partition_by, *sort_by)
     elif sort_by:
         df = df.sortWithinPartitions(*sort_by)
+    if observe:
+        df = observe(df)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if touched_only else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

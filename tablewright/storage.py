@@ -50,6 +50,66 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _files(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _files(spark, path)
+    return files.exists(target)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    files, target = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()] if files.exists(target) else []
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths below a folder of all its files at any depth, without hidden ones and marks of success; none if there is no such folder."""
+    files, target = _files(spark, path)
+    if not files.exists(target):
+        return []
+    found, root = files.listFiles(target, True), files.resolvePath(target).toString().rstrip("/")
+    names = []
+    while found.hasNext():
+        names.append(found.next().getPath().toString()[len(root) + 1 :])
+    return [n for n in names if not n.rsplit("/", 1)[-1].startswith((".", "_"))]
+
+
+def rename_path(spark: SparkSession, new: str, old: str) -> None:
+    """Rename ``new`` to ``old``, whose folder is made if need be."""
+    files, source = _files(spark, new)
+    _, target = _files(spark, old)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {new} to {old}")
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file; readers see the whole file or none."""
+    files, target = _files(spark, f"{path}.{uuid4().hex}.tmp")
+    stream = files.create(target)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    _, final = _files(spark, path)
+    files.delete(final, False)
+    if not files.rename(target, final):
+        raise OSError(f"cannot write {path}")
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    files, target = _files(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def replace_path(spark: SparkSession, new: str, old: str) -> None:
     """Put the complete folder ``new`` in the place of ``old``, which is deleted only then. Both must be on one file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path

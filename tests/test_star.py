@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tablewright import schemas
 from tablewright.operators import check_sql, hot_keys
-from tablewright.plans import PROFILES, build_star, check_star, star_tables
-from tablewright.sources import read_json, register_views
+from tablewright.plans import PROFILES, build_star, check_star, star, star_tables
+from tablewright.sources import ledger, read_json, register_views
 
 ALL = list(schemas.STAR_COLUMNS)
 
@@ -239,3 +239,89 @@ def test_appending_load_continues_keys_and_upserts(spark, events, songs, tmp_pat
     assert users == {8: ("First8", "free"), 10: ("First10", "again"), 26: ("First26", "paid")}
     assert spark.read.parquet(f"{out}/songs").count() == 5
     assert spark.read.parquet(f"{out}/time").count() == plays.count()
+
+
+@pytest.fixture(scope="module")
+def halves(spark, events, songs, tmp_path_factory):
+    """A star of two loads, each run once."""
+    out = str(tmp_path_factory.mktemp("halves"))
+    for part in (events.filter("sessionId < 183"), events.filter("sessionId >= 183")):
+        build_star(spark, part, songs, out, "rowwise", fresh=False)
+    return out
+
+
+def test_repeated_loads_change_nothing(spark, events, songs, halves, tmp_path):
+    out = str(tmp_path)
+    for part in (events.filter("sessionId < 183"), events.filter("sessionId >= 183")):
+        for _ in range(2):
+            report = build_star(spark, part, songs, out, "rowwise", fresh=False)
+    for table in ALL:
+        assert rows(spark.read.parquet(f"{out}/{table}")) == rows(spark.read.parquet(f"{halves}/{table}"))
+    assert ledger.records(spark, out) == ledger.records(spark, halves)
+    assert len(ledger.records(spark, out)) == 2
+    # what was counted while writing is what a scan counts
+    assert rows(report) == rows(check_star(spark, out, "rowwise"))
+
+
+def test_distinct_dimensions_take_only_rows_they_lack(spark, events, songs, tmp_path):
+    out, whole = str(tmp_path / "halves"), str(tmp_path / "whole")
+    for part in (events.filter("sessionId < 183"), events.filter("sessionId >= 183")):
+        build_star(spark, part, songs, out, "warehouse", fresh=False)
+    build_star(spark, events, songs, whole, "warehouse")
+    for table in ("users", "artists"):
+        assert rows(spark.read.parquet(f"{out}/{table}")) == rows(spark.read.parquet(f"{whole}/{table}"))
+
+
+def test_same_rows_under_another_name_are_a_load_of_their_own(spark, events, songs, tmp_path):
+    out = str(tmp_path)
+    for name in ("monday", "tuesday", "monday"):
+        build_star(spark, events, songs, out, "rowwise", fresh=False, load=name)
+    plays = spark.read.parquet(f"{out}/songplays")
+    assert sorted(r[0] for r in plays.select("songplay_id").collect()) == list(range(1, 17))
+    assert [r["load"] for r in ledger.records(spark, out)] == ["monday", "tuesday"]
+    build_star(spark, events, songs, out, "rowwise")
+    assert spark.read.parquet(f"{out}/songplays").count() == 8
+    assert len(ledger.records(spark, out)) == 1
+
+
+@pytest.mark.parametrize("step", ["write", "rename", "record"])
+def test_a_load_that_breaks_off_is_finished_or_leaves_nothing(spark, events, songs, halves, tmp_path, monkeypatch, step):
+    out, whole = str(tmp_path / "broken"), halves
+    early, late = events.filter("sessionId < 183"), events.filter("sessionId >= 183")
+    build_star(spark, early, songs, out, "rowwise", fresh=False)
+    before = {t: rows(spark.read.parquet(f"{out}/{t}")) for t in ALL}
+    calls = []
+
+    def fails(*_, **__):
+        calls.append(1)
+        if step != "rename" or len(calls) == 2:
+            raise OSError("gone")
+        return real(*_, **__)
+
+    place = {"write": (star, "write_table"), "rename": (ledger, "replace_path"), "record": (ledger, "write_small")}[step]
+    real = getattr(*place)
+    if step == "record":
+        # the first small file says that all tables are complete, the second is the ledger's record
+        def fails(spark_, path, text):
+            if "/_ledger/" in path:
+                raise OSError("gone")
+            real(spark_, path, text)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(*place, fails)
+        with pytest.raises(OSError, match="gone"):
+            build_star(spark, late, songs, out, "rowwise", fresh=False)
+    if step == "write":
+        assert {t: rows(spark.read.parquet(f"{out}/{t}")) for t in ALL} == before
+    build_star(spark, late, songs, out, "rowwise", fresh=False)
+    for table in ALL:
+        drop = ["songplay_id"] if table == "songplays" else []
+        assert rows(spark.read.parquet(f"{out}/{table}").drop(*drop)) == rows(spark.read.parquet(f"{whole}/{table}").drop(*drop))
+    assert not ledger.list_folders(spark, f"{out}/_loads")
+
+
+def test_checks_of_a_load_scan_each_table_once(spark, events, songs, tmp_path):
+    report = build_star(spark, events, songs, str(tmp_path), "rowwise")
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == len(ALL)
+    assert rows(report) == rows(check_star(spark, str(tmp_path), "rowwise"))
