@@ -185,50 +185,65 @@ def _typed_catalogue(catalogue: DataFrame, profile: StarProfile) -> DataFrame:
     return catalogue.withColumns({c: whole_decimal(c) for c in ("duration", "artist_latitude", "artist_longitude")})
 
 
-def _users(events: DataFrame, plays: DataFrame, profile: StarProfile, order: Sequence[str]) -> DataFrame:
-    source = events if profile.users_from_all_pages else plays
-    users = source.select(
-        "user_id",
-        F.col("firstName").alias("first_name"),
-        F.col("lastName").alias("last_name"),
-        "gender",
-        "level",
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+def order_names(order: Sequence[str]) -> list[str]:
+    """Names of the order columns in the rows that an upserted dimension is made of."""
+    return [f"_o{i}" for i in range(len(order))]
+
+
+def _with_order(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).alias(name) for c, name in zip(order, order_names(order), strict=True)]
+
+
+def user_rows(events: DataFrame, profile: StarProfile, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Rows of raw events that make the users, with their order."""
+    typed = _typed_events(events, profile)
+    users = (typed if profile.users_from_all_pages else _plays(typed, profile)).select(
+        "user_id", F.col("firstName").alias("first_name"), F.col("lastName").alias("last_name"), "gender", "level", *_with_order(order)
     )
+    return users.filter(F.col("user_id").isNotNull()) if profile.users_need_id else users
+
+
+def _users(events: DataFrame, profile: StarProfile, order: Sequence[str]) -> DataFrame:
+    users = user_rows(events, profile, order)
     if profile.users == "upsert":
-        if profile.users_need_id:
-            users = users.filter(F.col("user_id").isNotNull())
-        return dim_upsert(users, ["user_id"], [f"_o{i}" for i in range(len(order))], USER_FIRST, ["level"])
-    return dim_distinct(
-        users, schemas.STAR_COLUMNS["users"], not_null=["user_id"] if profile.users_need_id else []
-    )
+        return dim_upsert(users, ["user_id"], order_names(order), USER_FIRST, ["level"])
+    return dim_distinct(users, schemas.STAR_COLUMNS["users"])
+
+
+def song_rows(catalogue: DataFrame, profile: StarProfile, order: Sequence[str] = CATALOGUE_ORDER) -> DataFrame:
+    """Rows of a raw catalogue that make the songs, with their order."""
+    songs = _typed_catalogue(catalogue, profile).select(*schemas.STAR_COLUMNS["songs"], *_with_order(order))
+    return songs.dropna(subset=["song_id"]) if profile.catalogue_needs_id else songs
 
 
 def _songs(catalogue: DataFrame, profile: StarProfile, order: Sequence[str]) -> DataFrame:
     columns = schemas.STAR_COLUMNS["songs"]
-    not_null = ["song_id"] if profile.catalogue_needs_id else []
+    songs = song_rows(catalogue, profile, order)
     if profile.songs == "distinct":
-        return dim_distinct(catalogue, columns, not_null)
-    songs = catalogue.dropna(subset=not_null) if not_null else catalogue
+        return dim_distinct(songs, columns)
     if profile.songs == "all":
         return songs.select(*columns)
-    return dim_first(songs, ["song_id"], order, columns)
+    return dim_first(songs, ["song_id"], order_names(order), columns)
 
 
-def _artists(catalogue: DataFrame, profile: StarProfile, order: Sequence[str]) -> DataFrame:
-    artists = catalogue.select(
+def artist_rows(catalogue: DataFrame, profile: StarProfile, order: Sequence[str] = CATALOGUE_ORDER) -> DataFrame:
+    """Rows of a raw catalogue that make the artists, with their order."""
+    artists = _typed_catalogue(catalogue, profile).select(
         "artist_id",
         F.col("artist_name").alias("name"),
         F.col("artist_location").alias("location"),
         F.col("artist_latitude").alias("latitude"),
         F.col("artist_longitude").alias("longitude"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        *_with_order(order),
     )
-    not_null = ["artist_id"] if profile.catalogue_needs_id else []
+    return artists.dropna(subset=["artist_id"]) if profile.catalogue_needs_id else artists
+
+
+def _artists(catalogue: DataFrame, profile: StarProfile, order: Sequence[str]) -> DataFrame:
+    artists = artist_rows(catalogue, profile, order)
     if profile.artists == "distinct":
-        return dim_distinct(artists, schemas.STAR_COLUMNS["artists"], not_null)
-    artists = artists.dropna(subset=not_null) if not_null else artists
-    return dim_upsert(artists, ["artist_id"], [f"_o{i}" for i in range(len(order))], ["name"], ARTIST_LAST)
+        return dim_distinct(artists, schemas.STAR_COLUMNS["artists"])
+    return dim_upsert(artists, ["artist_id"], order_names(order), ["name"], ARTIST_LAST)
 
 
 def _match(
@@ -271,9 +286,9 @@ def star_tables(
     profile = PROFILES[profile] if isinstance(profile, str) else profile
     typed = _typed_events(events, profile)
     plays = _plays(typed, profile)
-    catalogue = _typed_catalogue(catalogue, profile)
     songs = _songs(catalogue, profile, catalogue_order)
     artists = _artists(catalogue, profile, catalogue_order)
+    catalogue = _typed_catalogue(catalogue, profile)
     tables: dict[str, DataFrame] = {}
     if fact is None and ("songplays" in only or ("time" in only and profile.time_from == "fact")):
         fact = _match(_slim(plays), catalogue, *(known or (songs, artists)), profile, hot)
@@ -282,7 +297,7 @@ def star_tables(
     if "songplays" in only:
         tables["songplays"] = _start_time(fact, profile)
     if "users" in only:
-        tables["users"] = _users(typed, plays, profile, event_order)
+        tables["users"] = _users(events, profile, event_order)
     if "songs" in only:
         tables["songs"] = songs
     if "artists" in only:
@@ -305,10 +320,19 @@ def _slim(plays: DataFrame) -> DataFrame:
     )
 
 
-def _keyed(
-    matched: DataFrame, profile: StarProfile, number_in_order: bool, key_start: int | None, key_path: str | None
-) -> DataFrame:
-    fact = matched.select(
+def play_keys(events: DataFrame, profile: StarProfile) -> DataFrame:
+    """Titles, artists and lengths that the plays of raw events look up."""
+    return _plays(_typed_events(events, profile), profile).select("song", "artist", "length")
+
+
+def play_rows(events: DataFrame, songs: DataFrame, artists: DataFrame, profile: StarProfile) -> DataFrame:
+    """Fact rows of raw events, looked up in loaded songs and artists, without a key."""
+    plays = _slim(_plays(_typed_events(events, profile), profile))
+    return _fact_rows(_match(plays, songs, songs, artists, profile, ()))
+
+
+def _fact_rows(matched: DataFrame) -> DataFrame:
+    return matched.select(
         "start_time",
         "user_id",
         "level",
@@ -318,6 +342,12 @@ def _keyed(
         "location",
         F.col("userAgent").alias("user_agent"),
     )
+
+
+def _keyed(
+    matched: DataFrame, profile: StarProfile, number_in_order: bool, key_start: int | None, key_path: str | None
+) -> DataFrame:
+    fact = _fact_rows(matched)
     if profile.key == "md5":
         fact = fact.withColumn("songplay_id", content_key(*profile.key_columns))
     elif profile.key == "monotonic":

@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.registry.base import query, table
+from tablewright.registry.derived import catalogue, event_log
+from tablewright.registry.star import BASE, CATALOGUE_ORDER, EVENT_ORDER, FACT_TAIL, TABLES
+from tablewright.schemas import STAR_COLUMNS
 from tablewright.storage import scratch_path
 from tablewright.streaming import (
     AppendFact,
+    IncrementalStar,
     UpsertDimension,
     compact_dimension,
     incremental_load,
@@ -80,3 +84,50 @@ def stream_incremental_compacted(spark, sf_dir):
 def stream_incremental_fact(spark, sf_dir):
     """Every play exactly once."""
     return read_fact(spark, _loaded(spark, sf_dir), "plays")
+
+
+NUMBERED = AppendFact("numbered", lambda staged: staged.select("event_id", "user_id"), number="event_key", number_order=["event_id"])
+
+
+@query("stream_key_sequence", "SELECT row_number() OVER (ORDER BY event_id) AS event_key, event_id, user_id FROM events")
+def stream_key_sequence(spark, sf_dir):
+    """Three batches in the order of their events; the second breaks off once its rows are written, and is run again."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "incremental")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    cuts = events.agg(F.percentile_approx("event_id", F.array(F.lit(1 / 3), F.lit(2 / 3)))).first()[0]
+    broken = UpsertDimension("users", ["user_id"], ["event_id"], [], [], lambda rows: rows.withColumn("user_id", F.raise_error(F.lit("broken off")).cast("long")))
+    for batch, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
+        part = events if low is None else events.where(F.col("event_id") > low)
+        (part if high is None else part.where(F.col("event_id") <= high)).write.mode("append").json(landing)
+        if batch == 1:
+            try:
+                incremental_load(spark, landing, SCHEMA, out, [NUMBERED], [broken])
+            except Exception as error:
+                if "broken off" not in str(error):
+                    raise
+        incremental_load(spark, landing, SCHEMA, out, [NUMBERED])
+    return read_fact(spark, out, "numbered")
+
+
+def _star(spark, sf_dir):
+    """Two runs: the whole catalogue each time, and half the log."""
+    star = IncrementalStar(scratch_path(spark, "incremental-star"), event_order=EVENT_ORDER, catalogue_order=CATALOGUE_ORDER)
+    songs, logs = scratch_path(spark, "landing-songs"), scratch_path(spark, "landing-logs")
+    log = event_log(spark, sf_dir)
+    for late in (False, True):
+        catalogue(spark, sf_dir).repartition(2, "song_id").write.mode("append").json(songs)
+        log.where((F.col("sessionId") % 2 == 0) == late).repartition(2, "sessionId").write.mode("append").json(logs)
+        star.load(spark, songs, logs)
+    return star
+
+
+def _register_star(name: str, sql: str, columns: list[str]) -> None:
+    @query(f"stream_star_{name}", f"WITH {BASE} {sql}")
+    def run(spark, sf_dir):
+        return _star(spark, sf_dir).read(spark, name).select(*columns)
+
+
+_PLAYS = ["start_time", "user_id", *FACT_TAIL.split(", ")]
+_register_star("songplays", f"SELECT {', '.join(_PLAYS)} FROM ({TABLES['rowwise']['songplays']})", _PLAYS)
+for _name in ("users", "artists"):
+    _register_star(_name, TABLES["rowwise"][_name], list(STAR_COLUMNS[_name]))

@@ -8,9 +8,11 @@ from tablewright.streaming.incremental import (
     read_dimension,
     read_fact,
 )
+from tablewright.streaming.star import IncrementalStar
 
 __all__ = [
     "AppendFact",
+    "IncrementalStar",
     "UpsertDimension",
     "compact_dimension",
     "incremental_load",

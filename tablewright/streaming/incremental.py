@@ -8,6 +8,7 @@ or even reads, what earlier batches wrote.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.operators.dimensions import merge_states, state_rows, upsert_state
-from tablewright.storage import remove_path, stash
+from tablewright.operators.keys import sequence_key
+from tablewright.storage import list_files, read_small, remove_path, stash, write_small
 
 _BATCH = "batch"
 
@@ -35,10 +37,18 @@ class UpsertDimension:
 
 @dataclass(frozen=True)
 class AppendFact:
-    """A fact table to which every batch appends ``build(staged rows)``."""
+    """A fact table to which every batch appends ``build(staged rows)``.
+
+    ``number`` names a key that counts the rows over all batches, without gaps, from ``number_from`` on; within a batch they are
+    counted in ``number_order``, which should name all columns that tell rows apart. A batch reserves its range in the
+    ledger of the folder before it writes and finds it there when it is run again.
+    """
 
     name: str
     build: Callable[[DataFrame], DataFrame] | None = None
+    number: str | None = None
+    number_from: int = 1
+    number_order: Sequence[str] = ()
 
 
 def incremental_load(
@@ -64,6 +74,8 @@ def incremental_load(
         staged = stash(batch, "staging", f"{out}/_staging")
         for fact in facts:
             rows = fact.build(staged) if fact.build else staged
+            if fact.number:
+                rows = _numbered(spark, rows, fact, out, batch_id)
             rows.write.mode("overwrite").parquet(f"{out}/{fact.name}/{_BATCH}={batch_id}")
         for dim in dimensions:
             rows = dim.prepare(staged) if dim.prepare else staged
@@ -84,6 +96,24 @@ def incremental_load(
     return done
 
 
+def _numbered(spark: SparkSession, rows: DataFrame, fact: AppendFact, out: str, batch_id: int) -> DataFrame:
+    """Rows with the numbers that the ledger reserves for this batch."""
+    ranges = f"{out}/_ranges/{fact.name}"
+    held = {int(name.split(".")[0]): json.loads(read_small(spark, f"{ranges}/{name}")) for name in sorted(list_files(spark, ranges))[-2:]}
+    placed = f"{out}/_placed/{fact.name}"
+    if batch_id in held:
+        start = held[batch_id]["start"]
+    else:
+        start = max([fact.number_from, *(r["start"] + r["rows"] for k, r in held.items() if k < batch_id)])
+    keyed = sequence_key(rows, fact.number, start, fact.number_order, path=placed)
+    number = keyed.count()
+    if batch_id not in held:
+        write_small(spark, f"{ranges}/{batch_id:012d}.json", json.dumps({"start": start, "rows": number}))
+    elif held[batch_id]["rows"] != number:
+        raise RuntimeError(f"batch {batch_id} of {fact.name} has {number} rows, but has had {held[batch_id]['rows']}")
+    return keyed
+
+
 def read_fact(spark: SparkSession, out: str, name: str) -> DataFrame:
     """All loaded rows of a fact table."""
     return spark.read.parquet(f"{out.rstrip('/')}/{name}").drop(_BATCH)

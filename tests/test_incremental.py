@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tablewright import streaming
 from tablewright.functions import cast_or_null, from_epoch_millis
 from tablewright.operators import dim_upsert
-from tablewright.schemas import EVENT_LOG
+from tablewright.plans import PROFILES, star_tables
+from tablewright.schemas import EVENT_LOG, STAR_COLUMNS
 from tablewright.streaming import (
     AppendFact,
+    IncrementalStar,
     UpsertDimension,
     compact_dimension,
     incremental_load,
@@ -92,5 +94,60 @@ def test_a_batch_that_fails_midway_is_repeated_whole(spark, landing, tmp_path):
     assert read_fact(spark, out, "plays").count() == 4
 
 
+def test_star_file_by_file(spark, landing, song_dir, events, songs, tmp_path):
+    folder, drop, days = landing
+    star = IncrementalStar(str(tmp_path / "star"))
+
+    def load():
+        return star.load(spark, song_dir, folder)
+
+    drop("2018-12-31", "2018-11-01")
+    assert load() == {"catalogue": [0], "log": [0]}
+    assert load() == {"catalogue": [], "log": []}
+    drop("2018-11-02", "2018-11-03", "2018-11-04")
+
+    # plays are written before users: the batch that breaks off is run again whole
+    healthy = star.users
+    star.users = UpsertDimension(healthy.name, healthy.key, ["ts"], [], [], lambda rows: rows.select("ts", F.raise_error(F.lit("disk full")).cast("int").alias("user_id")))
+    with pytest.raises(Exception, match="disk full"):
+        load()
+    star.users = healthy
+    assert load() == {"catalogue": [], "log": [1]}
+
+    want = star_tables(events, songs, "rowwise")
+    for _ in range(2):
+        for table, columns in STAR_COLUMNS.items():
+            got = star.read(spark, table)
+            assert got.columns == list(columns)
+            drop_key = ["songplay_id"] if table == "songplays" else []
+            assert rows(got.drop(*drop_key)) == rows(want[table].drop(*drop_key))
+        plays = star.read(spark, "songplays")
+        assert sorted(r[0] for r in plays.select("songplay_id").collect()) == list(range(1, plays.count() + 1))
+        star.compact(spark)
+
+
+def test_a_play_keeps_what_it_found(spark, landing, song_dir, tmp_path):
+    folder, drop, days = landing
+    empty = tmp_path / "songs"
+    empty.mkdir()
+    star = IncrementalStar(str(tmp_path / "star"))
+    drop("2018-11-01")
+    star.load(spark, str(empty), folder)
+    from shutil import copytree
+
+    copytree(song_dir, empty, dirs_exist_ok=True)
+    (tmp_path / "landing" / "again.json").write_text(days["2018-11-01"])
+    star.load(spark, str(empty), folder)
+    found = star.read(spark, "songplays").orderBy("songplay_id").select("songplay_id", "song_id").collect()
+    assert [tuple(r) for r in found] == [(1, None), (2, None), (3, "S2"), (4, "S1")]
+
+
+def test_other_profiles_are_refused(tmp_path):
+    for name in PROFILES:
+        if name != "rowwise":
+            with pytest.raises(ValueError, match="build_star"):
+                IncrementalStar(str(tmp_path), name)
+
+
 def test_public_names():
     assert all(hasattr(streaming, name) for name in streaming.__all__)
