@@ -22,6 +22,7 @@ from tablewright.operators.quality import (
     check_length,
     check_non_empty,
     check_not_null,
+    check_rejects,
     check_sql,
     check_unique,
     duplicate_keys,
@@ -31,15 +32,18 @@ from tablewright.operators.quality import (
     run_checks,
     table_faults,
 )
+from tablewright.operators.rejects import cast_faults, split_typed
 from tablewright.operators.rollup import roll_up, row_counts
 
 __all__ = [
     "calendar",
     "calendar_union",
+    "cast_faults",
     "check_key",
     "check_length",
     "check_non_empty",
     "check_not_null",
+    "check_rejects",
     "check_sql",
     "check_unique",
     "concat_rows",
@@ -65,6 +69,7 @@ __all__ = [
     "run_checks",
     "sequence_key",
     "song_playlist_session",
+    "split_typed",
     "table_faults",
     "table_upsert",
     "user_history",

@@ -91,6 +91,11 @@ def check_not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFram
     return _one_pass(df, _null_faults(columns), name)
 
 
+def check_rejects(rejects: DataFrame, name: str, most: int = 0) -> DataFrame:
+    """No more than ``most`` records of a source were rejected."""
+    return rejects.agg(F.count("*").alias("n")).select(*_result(name, f"rejects(<={most})", F.col("n") <= most, F.col("n"), " rejected"))
+
+
 def check_length(df: DataFrame, limits: Mapping[str, int], name: str) -> DataFrame:
     """No text is longer than its declared limit."""
     return _one_pass(df, _length_faults(limits), name)

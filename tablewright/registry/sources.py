@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import epoch_millis
+from tablewright.operators import check_rejects, split_typed
 from tablewright.registry.base import query, table
-from tablewright.sources import dated_path, read_csv, read_json, read_parquet, stage, write_csv
+from tablewright.sources import dated_path, read_csv, read_csv_rejects, read_json, read_parquet, stage, write_csv
 from tablewright.storage import scratch_path
 
 EVENT = T.StructType(
@@ -104,3 +105,72 @@ def stage_mapped(spark, sf_dir):
     events.select(*[F.col(column).alias(field) for column, field in mapping.items()]).write.json(path)
     schema = T.StructType([*EVENT.fields, T.StructField("ts_ms", T.LongType())])
     return stage(spark, path, schema, mapping, target=scratch_path(spark, "staging"))
+
+
+HOLDER = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("nation", T.IntegerType())])
+# a record of each kind: whole, too short, no number, too long, an empty field
+LINES = [
+    ("0", "c_custkey || ',' || c_name || ',' || c_nationkey"),
+    ("1", "c_custkey || ',' || c_name"),
+    ("2", "'x' || c_custkey || ',' || c_name || ',n' || c_nationkey"),
+    ("3", "c_custkey || ',' || c_name || ',' || c_nationkey || ',more'"),
+    ("4", "c_custkey || ',' || c_name || ','"),
+]
+LINE_SQL = f"CASE c_custkey % 5 {' '.join(f'WHEN {k} THEN {line}' for k, line in LINES)} END"
+REASONS_SQL = "CASE c_custkey % 5 WHEN 2 THEN 'id: no bigint; nation: no int' ELSE 'not 3 fields' END"
+
+
+def _faulty_files(spark, sf_dir):
+    path = scratch_path(spark, "csv-faulty")
+    lines = table(spark, sf_dir, "customer").select(F.expr(LINE_SQL).alias("value"))
+    lines.write.option("lineSep", "\n").text(path)
+    return path
+
+
+@query(
+    "src_csv_rejects",
+    f"""
+    SELECT CASE WHEN c_custkey % 5 IN (0, 4) THEN c_custkey END AS id, CASE WHEN c_custkey % 5 IN (0, 4) THEN c_name END AS name,
+        CASE WHEN c_custkey % 5 = 0 THEN c_nationkey END::INT AS nation, CASE WHEN c_custkey % 5 NOT IN (0, 4) THEN {LINE_SQL} END AS record,
+        CASE WHEN c_custkey % 5 NOT IN (0, 4) THEN {REASONS_SQL} END AS reasons
+    FROM customer
+    """,
+)
+def src_csv_rejects(spark, sf_dir):
+    """Rows that fit and records that do not, each once."""
+    good, rejects = read_csv_rejects(spark, _faulty_files(spark, sf_dir), HOLDER, header=False)
+    rejects = rejects.select("record", F.array_join("reasons", "; ").alias("reasons"))
+    return good.unionByName(rejects, allowMissingColumns=True)
+
+
+@query(
+    "dq_rejects",
+    """
+    SELECT 'holders' AS table_name, 'rejects(<=0)' AS check_name, count(*) = 0 AS passed, count(*) || ' rejected' AS detail
+    FROM customer WHERE c_custkey % 5 NOT IN (0, 4)
+    """,
+)
+def dq_rejects(spark, sf_dir):
+    """The rejected records of a source, counted."""
+    return check_rejects(read_csv_rejects(spark, _faulty_files(spark, sf_dir), HOLDER, header=False)[1], "holders")
+
+
+@query(
+    "cast_rejects",
+    """
+    SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate::DATE END AS day,
+        CASE WHEN o_orderkey % 7 = 0 THEN 'k' || o_orderkey END AS raw, CASE WHEN o_orderkey % 7 = 0 THEN 'id: no bigint' END AS reasons
+    FROM orders
+    """,
+)
+def cast_rejects(spark, sf_dir):
+    """Texts cast to their types; rows that do not fit, with the reason."""
+    key = F.col("o_orderkey").cast("string")
+    texts = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("k"), key)).otherwise(key).alias("id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+    )
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType())])
+    good, rejects = split_typed(texts, schema)
+    rejects = rejects.select(F.col("id").alias("raw"), F.array_join("reasons", "; ").alias("reasons"))
+    return good.unionByName(rejects, allowMissingColumns=True)

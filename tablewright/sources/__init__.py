@@ -1,6 +1,6 @@
 """Readers with declared schemas, staging, and table writers."""
 
-from tablewright.sources.readers import dated_path, read_csv, read_json, read_parquet, register_views
+from tablewright.sources.readers import dated_path, read_csv, read_csv_rejects, read_json, read_parquet, register_views
 from tablewright.sources.staging import stage
 from tablewright.sources.writers import (
     create_table,
@@ -19,6 +19,7 @@ __all__ = [
     "load_table",
     "publish_table",
     "read_csv",
+    "read_csv_rejects",
     "read_json",
     "read_parquet",
     "register_views",

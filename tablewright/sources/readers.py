@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tablewright.operators.rejects import split_typed
 
 
 def read_json(
@@ -42,6 +45,42 @@ def read_csv(
     return reader.option("enforceSchema", not header).option("quote", '"').option("escape", '"').csv(path)
 
 
+def read_csv_rejects(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    sep: str = ",",
+    header: bool = True,
+    multiline: bool = True,
+    required: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Delimited files as (rows that fit the schema, rejected records).
+
+    A record is rejected if it has more or fewer fields than the schema, if a field is no value of its type, or if a ``required`` one is
+    empty. Rejects are rows (file, record, reasons): the record as it stands in the file. Together the two hold each record
+    once, whatever is selected from them; each reads the files. An empty field is NULL, which fits any type. Options as for ``read_csv``.
+    """
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields] + [StructField("_record", StringType())])
+    reader = spark.read.schema(texts).option("sep", sep).option("header", header).option("multiLine", multiline)
+    # without pruning a record's fields are counted even if few of its columns are read
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").option("columnPruning", False)
+    raw = reader.option("enforceSchema", not header).option("quote", '"').option("escape", '"').csv(path)
+    fields = F.when(F.col("_record").isNotNull(), F.array(F.lit(f"not {len(schema.fields)} fields"))).otherwise(F.array().cast("array<string>"))
+    raw = raw.select("*", F.col("_metadata.file_path").alias("file"))
+    # the reader keeps the text of records with a wrong number of fields only
+    whole = F.coalesce("_record", F.concat_ws(sep, *[_as_field(f"`{f.name}`", sep) for f in schema.fields]))
+    rows = raw.select(*[f"`{f.name}`" for f in schema.fields], "file", whole.alias("record"), fields.alias("_fields"))
+    return split_typed(rows, schema, required, ["file", "record"], F.col("_fields"))
+
+
+def _as_field(column: str, sep: str) -> Column:
+    """A value as it is written in a file: in quotes if it holds a quote, the separator or a line break."""
+    text = F.coalesce(column, F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    special = F.contains(text, F.lit(sep)) | F.contains(text, F.lit('"')) | F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    return F.when(special, quoted).otherwise(text)
+
+
 def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
     """Parquet files by path or glob, or a whole table folder."""
     reader = spark.read.schema(schema) if schema else spark.read

@@ -42,7 +42,7 @@ def event(ts: str, user: str | None, session: int, item: int, **other) -> dict:
     row = {
         "artist": "Band A", "auth": "Logged In", "firstName": f"First{user}", "gender": "F", "itemInSession": item,
         "lastName": f"Last{user}", "length": 200.5, "level": "free", "location": "Town", "method": "PUT",
-        "page": "NextSong", "registration": 1540919166796.0, "sessionId": session, "song": "Song 1", "status": 200,
+        "page": "NextSong", "registration": 1512345678901.0, "sessionId": session, "song": "Song 1", "status": 200,
         "ts": millis(ts), "userAgent": "\"Agent/1.0 (X; Y)\"", "userId": user,
     }
     return {**row, **other}
@@ -50,9 +50,9 @@ def event(ts: str, user: str | None, session: int, item: int, **other) -> dict:
 
 EVENTS = [
     # matches on title, artist and length
-    event("2018-11-01T21:01:46.796", "8", 139, 0),
+    event("2018-11-01T21:07:13.457", "8", 137, 0),
     # two plays of a session in one second
-    event("2018-11-01T21:01:46.100", "8", 139, 1, song="Song 2", length=301.25),
+    event("2018-11-01T21:07:13.100", "8", 137, 1, song="Song 2", length=301.25),
     # matches on two keys only
     event("2018-11-02T01:00:00.000", "10", 182, 0, length=999.0),
     # no match
@@ -62,7 +62,7 @@ EVENTS = [
     # the last millisecond of a day; ISO week 1 in December
     event("2018-12-31T23:59:59.999", "26", 183, 1, level="paid"),
     # no play
-    event("2018-11-01T20:00:00.000", "39", 38, 0, page="Home", artist=None, song=None, length=None),
+    event("2018-11-01T20:00:00.000", "41", 37, 0, page="Home", artist=None, song=None, length=None),
     event("2018-11-01T20:00:01.000", None, 40, 0, page="Login", artist=None, song=None, length=None, auth="Logged Out"),
     # plays without user
     event("2018-11-04T00:00:00.000", "", 50, 0),

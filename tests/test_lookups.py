@@ -15,7 +15,7 @@ def line(artist, song, user, session, item, first="Ann", last="Lee", length="200
     row = dict.fromkeys(NAMES, "")
     row.update(
         artist=artist, song=song, userId=user, sessionId=session, itemInSession=item, firstName=first, lastName=last,
-        length=length, level="free", location="Town, ST", registration="1.54E+12", ts="1.54111E+12", page="NextSong",
+        length=length, level="free", location="Town, ST", registration="1.53E+12", ts="1.52468E+12", page="NextSong",
     )
     return [row[c] for c in NAMES]
 
@@ -24,14 +24,14 @@ def line(artist, song, user, session, item, first="Ann", last="Lee", length="200
 def csv_dir(tmp_path):
     days = {
         "2018-11-01.csv": [
-            line("Band A", "Song 2", 8, 139, 3),
-            line("", "", 8, 139, 0, length=""),
-            line("Band A", "Song 1", 8, 139, 1),
+            line("Band A", "Song 2", 8, 137, 3),
+            line("", "", 8, 137, 0, length=""),
+            line("Band A", "Song 1", 8, 137, 1),
         ],
         "2018-11-02.csv": [
             line("Band A", "Song 1", 8, 150, 0),
             line("Band A", "Song 1", 9, 151, 0, "Bo", 'O"Ray'),
-            line("Band B", "Song 1", 8, 139, 10),
+            line("Band B", "Song 1", 8, 137, 10),
         ],
     }
     folder = tmp_path / "event_data"
@@ -48,8 +48,8 @@ def test_build_and_ask(spark, csv_dir, tmp_path):
     assert {name: df.count() for name, df in tables.items()} == {
         "music_history": 5, "user_history": 5, "song_playlist_session": 3,
     }
-    assert rows(song_of_item(tables["music_history"], 139, 1)) == [("Band A", "Song 1", 200.5)]
-    in_order = [tuple(r) for r in songs_of_session(tables["user_history"], 8, 139).collect()]
+    assert rows(song_of_item(tables["music_history"], 137, 1)) == [("Band A", "Song 1", 200.5)]
+    in_order = [tuple(r) for r in songs_of_session(tables["user_history"], 8, 137).collect()]
     assert [r[1] for r in in_order] == ["Song 1", "Song 2", "Song 1"]
     assert in_order[2] == ("Band B", "Song 1", "Ann", "Lee")
     # once per user, however often they played it

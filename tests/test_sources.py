@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import schemas
-from tablewright.operators import filter_filled
+from tablewright.operators import check_rejects, filter_filled, split_typed
 from tablewright.sources import (
     create_table,
     dated_path,
@@ -14,6 +14,7 @@ from tablewright.sources import (
     load_table,
     publish_table,
     read_csv,
+    read_csv_rejects,
     read_json,
     read_parquet,
     stage,
@@ -30,7 +31,7 @@ def test_json_by_glob_and_recursive_are_the_same(spark, song_dir, log_dir):
     assert rows(glob) == rows(recursive)
     log = read_json(spark, f"{log_dir}/*/*/*.json", schemas.EVENT_LOG)
     assert log.count() == len(EVENTS)
-    assert log.filter("registration = 1540919166796.0").count() == len(EVENTS)
+    assert log.filter("registration = 1512345678901.0").count() == len(EVENTS)
     assert log.select("userAgent").first()[0] == '"Agent/1.0 (X; Y)"'
 
 
@@ -67,17 +68,17 @@ def csv_dir(tmp_path):
     folder = tmp_path / "events"
     folder.mkdir()
     (folder / "a.csv").write_text(
-        f'{HEAD}\nBand A,Logged In,Ann,F,1,Lee,200.5,free,"Town, ST",PUT,NextSong,1.54092E+12,139,"Song ""1""",200,1.54111E+12,8\n'
-        ",Logged In,Ann,F,0,Lee,,free,\"Town, ST\",GET,Home,1.54092E+12,139,,200,1.54111E+12,8\n"
+        f'{HEAD}\nBand A,Logged In,Ann,F,1,Lee,200.5,free,"Town, ST",PUT,NextSong,1.51235E+12,137,"Song ""1""",200,1.52468E+12,8\n'
+        ",Logged In,Ann,F,0,Lee,,free,\"Town, ST\",GET,Home,1.51235E+12,137,,200,1.52468E+12,8\n"
     )
-    (folder / "b.csv").write_text(f"{HEAD}\nBand B,Logged In,Bo,M,0,Ray,100.25,paid,Town,PUT,NextSong,1.5E+12,140,Twin,200,1.54E+12,9\n")
+    (folder / "b.csv").write_text(f"{HEAD}\nBand B,Logged In,Bo,M,0,Ray,100.25,paid,Town,PUT,NextSong,1.5E+12,140,Twin,200,1.53E+12,9\n")
     return str(folder)
 
 
 def test_csv_of_a_directory(spark, csv_dir):
     df = read_csv(spark, csv_dir, schemas.EVENT_CSV)
     assert df.count() == 3
-    assert df.filter("ts = 1541110000000 and location = 'Town, ST' and song = 'Song \"1\"'").count() == 1
+    assert df.filter("ts = 1524680000000 and location = 'Town, ST' and song = 'Song \"1\"'").count() == 1
     assert filter_filled(df, "artist").count() == 2
 
 
@@ -205,3 +206,50 @@ def test_fast_csv_reading_fails_on_a_broken_record(spark, tmp_path):
     write_csv(df, str(tmp_path / "out"))
     with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
         read_csv(spark, str(tmp_path / "out"), df.schema, multiline=False).collect()
+
+
+FAULTY = """id,name,n
+1,a,5
+2,b
+x,c,7
+5,f,9,extra
+6,"li
+ne",8
+7,,
+8,"q ""x"", y",many
+,,
+9,"open,1
+"""
+THREE = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+def test_records_that_do_not_fit_are_rejected(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(FAULTY)
+    good, rejects = read_csv_rejects(spark, str(tmp_path), THREE)
+    assert rows(good) == rows(spark.createDataFrame([(1, "a", 5), (6, "li\nne", 8), (7, None, None), (None, None, None)], THREE))
+    found = {r.record: r.reasons for r in rejects.collect()}
+    assert found == {
+        "2,b": ["not 3 fields"],
+        "x,c,7": ["id: no bigint"],
+        "5,f,9,extra": ["not 3 fields"],
+        '8,"q ""x"", y",many': ["n: no int"],
+        '9,"open,1': ["not 3 fields"],
+    }
+    assert {r.file.rsplit("/", 1)[1] for r in rejects.collect()} == {"a.csv"}
+    # what is read does not change what is rejected
+    assert sorted(r[0] or "" for r in good.select("name").collect()) == ["", "", "a", "li\nne"]
+    assert good.count() == 4
+    assert rejects.count() == 5
+    assert [tuple(r)[2:] for r in check_rejects(rejects, "a", 5).collect()] == [(True, "5 rejected")]
+    strict, missing = read_csv_rejects(spark, str(tmp_path), THREE, required=["id"])
+    assert strict.count() == 3
+    assert missing.where("array_contains(reasons, 'id: missing')").count() == 1
+
+
+def test_texts_split_by_their_types(spark):
+    texts = spark.createDataFrame([("1", "2020-01-01", "x"), ("one", "2020-13-01", "y"), (None, None, "z")], "id string, day string, other string")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType())])
+    good, rejects = split_typed(texts, schema)
+    assert rows(good) == [(None, None), (1, date(2020, 1, 1))]
+    assert [tuple(r) for r in rejects.collect()] == [("one", "2020-13-01", "y", ["id: no bigint", "day: no date"])]
+    assert split_typed(texts.limit(0), schema)[1].count() == 0
