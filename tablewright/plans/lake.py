@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import item_of_split, parse_date
-from tablewright.operators import calendar_union, dim_distinct, raise_on_failure, roll_up, run_checks
-from tablewright.sources import write_table
-from tablewright.storage import remove_path, replace_path, run_together
+from tablewright.operators import calendar_union, dim_distinct, observe_faults, raise_on_failure, roll_up, run_checks
+from tablewright.sources import Load, write_table
+from tablewright.sources.ledger import finish_loads
+from tablewright.storage import run_together
 
 # Columns of the target tables and the date patterns of the records.
 RESIDENT = ["admnum", "i94bir", "occup", "biryear", "gender"]
@@ -69,18 +70,24 @@ def build_lake(
 ) -> DataFrame:
     """Write the seven tables below ``out`` and return the check report for all of them.
 
-    Each is written aside first and then put in the place of an older one.
+    All are written aside, counted meanwhile, and then put in the place of older ones together; a build that breaks off before leaves
+    the old tables as they were. The checks scan each table once, for repeated rows.
     """
     tables, out = lake_tables(records, demographics, airports), out.rstrip("/")
-    aside = f"{out}/_next-{uuid4().hex}"
+    finish_loads(spark, out)
+    this, seen = Load(spark, out, uuid4().hex, fresh=True), {}
 
     def write(name: str, df: DataFrame) -> None:
-        write_table(df, f"{aside}/{name}", PARTITIONS.get(name, ()))
-        replace_path(spark, f"{aside}/{name}", f"{out}/{name}")
+        def observe(rows: DataFrame) -> DataFrame:
+            rows, seen[name] = observe_faults(rows, {})
+            return rows
+
+        write_table(df, this.path(name), PARTITIONS.get(name, ()), observe=observe)
 
     run_together(spark, [partial(write, name, df) for name, df in tables.items()])
-    remove_path(spark, aside)
-    report = run_checks(spark, out, list(tables))
+    counts = {name: mark.get for name, mark in seen.items()}
+    this.publish({"counts": counts})
+    report = run_checks(spark, out, list(tables), counts=counts)
     if check:
         raise_on_failure(report)
     return report

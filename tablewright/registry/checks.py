@@ -17,8 +17,8 @@ from tablewright.operators import (
     run_checks,
 )
 from tablewright.registry.base import query, table
-from tablewright.sources import write_table
-from tablewright.storage import scratch_path
+from tablewright.sources import KeyHistory, write_table
+from tablewright.storage import scratch_path, stash
 
 
 @query(
@@ -92,6 +92,29 @@ def dq_key_unique(spark, sf_dir):
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    "dq_key_unique_loads",
+    """
+    WITH loads AS (SELECT l_linenumber::BIGINT AS load_number, l_orderkey, count(*) AS cnt FROM lineitem WHERE l_linenumber IN (1, 2, 3) GROUP BY 1, 2)
+    SELECT load_number, l_orderkey, cnt, load_number > min(load_number) OVER (PARTITION BY l_orderkey) AS earlier FROM loads
+    QUALIFY cnt > 1 OR earlier
+    """,
+)
+def dq_key_unique_loads(spark, sf_dir):
+    """Orders that a load holds twice or an earlier one has brought, of three loads; each is checked against the fingerprints of the others, and again once it is recorded."""
+    history = KeyHistory(spark, scratch_path(spark, "key-history"), ["l_orderkey"])
+    lines, found = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), None
+    for load in (1, 2, 3):
+        rows = lines.where(F.col("l_linenumber") == load)
+        repeated = stash(history.repeated(rows, str(load)), "repeated-keys")
+        history.record(rows, str(load))
+        if history.repeated(rows, str(load)).count() != repeated.count():
+            raise RuntimeError("a load that is checked again finds its own keys")
+        own = repeated.select(F.lit(load).cast("long").alias("load_number"), "l_orderkey", "cnt", "earlier")
+        found = own if found is None else found.unionAll(own)
+    return found
+
+
 @query(
     "dq_length",
     """

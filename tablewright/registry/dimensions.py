@@ -17,6 +17,8 @@ from tablewright.operators import (
     table_upsert,
 )
 from tablewright.registry.base import query, table
+from tablewright.sources import upsert_files
+from tablewright.storage import scratch_path
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -75,6 +77,16 @@ def table_upsert_merge(spark, sf_dir):
     return table_upsert(base, changes, LINE_KEY, LINE_ORDER).select(*LINE_COLUMNS)
 
 
+@query("table_upsert_files", LAST_LINE)
+def table_upsert_files(spark, sf_dir):
+    """As before, into a written table of which only the files with changed keys are rewritten."""
+    root = scratch_path(spark, "upsert-files")
+    lines = table(spark, sf_dir, "lineitem").select(*dict.fromkeys([*LINE_COLUMNS, *LINE_ORDER, "l_linestatus"]))
+    upsert_files(spark, root, "lines", filter_equal(lines, l_linestatus="O"), LINE_KEY, LINE_ORDER)
+    upsert_files(spark, root, "lines", filter_equal(lines, l_linestatus="F"), LINE_KEY, LINE_ORDER)
+    return spark.read.parquet(f"{root}/lines").select(*LINE_COLUMNS)
+
+
 @query(
     "calendar_rows",
     """

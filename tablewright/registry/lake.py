@@ -74,22 +74,55 @@ for _name in TABLES:
     _register(_name)
 
 
-@query(
-    "lake_built",
-    f"{BASE} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM ({sql})" for n, sql in TABLES.items()),
-)
-def lake_built(spark, sf_dir):
-    """Records come as Parquet, the rest as delimited files; then all seven tables are written."""
+def _built(spark, sf_dir):
+    """Records come as Parquet, the rest as delimited files; then all seven tables are written. The folder, and the check report."""
     out = scratch_path(spark, "lake")
     demographics(spark, sf_dir).write.option("sep", ";").option("header", True).csv(f"{out}/raw/demographics")
     write_csv(airports(spark, sf_dir), f"{out}/raw/airports")
-    build_lake(
+    report = build_lake(
         spark,
         stash(arrivals(spark, sf_dir), "records", f"{out}/raw/records"),
         read_csv(spark, f"{out}/raw/demographics", schemas.DEMOGRAPHICS, sep=";"),
         read_csv(spark, f"{out}/raw/airports", schemas.AIRPORTS),
         out,
     )
+    return out, report
+
+
+CHECKS_SQL = " UNION ALL ".join(
+    f"""
+    SELECT '{name}' AS table_name, 'non_empty' AS check_name, count(*) > 0 AS passed, count(*) || ' rows' AS detail FROM ({sql})
+    UNION ALL SELECT '{name}', 'unique_rows', count(*) = (SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql}))),
+        count(*) || ' rows, ' || (SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql}))) || ' distinct' FROM ({sql})
+    """
+    for name, sql in TABLES.items()
+)
+
+
+@query("lake_checked", f"{BASE} {CHECKS_SQL}")
+def lake_checked(spark, sf_dir):
+    """The check report of the tables that a build has written."""
+    return _built(spark, sf_dir)[1]
+
+
+@query("lake_written", f"{BASE} " + " UNION ALL BY NAME ".join(f"SELECT '{n}' AS table_name, * FROM ({sql})" for n, sql in TABLES.items()))
+def lake_written(spark, sf_dir):
+    """The rows of all seven tables as they have been written; a column that a table lacks is NULL."""
+    out, rows = _built(spark, sf_dir)[0], None
+    for name in TABLES:
+        own = spark.read.parquet(f"{out}/{name}").withColumn("table_name", F.lit(name))
+        own = _rounded(own) if name == "states_table" else own
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    return rows
+
+
+@query(
+    "lake_built",
+    f"{BASE} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM ({sql})" for n, sql in TABLES.items()),
+)
+def lake_built(spark, sf_dir):
+    """The number of rows of each table that a build has written."""
+    out, _ = _built(spark, sf_dir)
     counts = [
         spark.read.parquet(f"{out}/{name}").agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
         for name in TABLES

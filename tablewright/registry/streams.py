@@ -13,11 +13,14 @@ from tablewright.storage import scratch_path
 from tablewright.streaming import (
     AppendFact,
     IncrementalStar,
+    RollUp,
     UpsertDimension,
     compact_dimension,
+    compact_rollup,
     incremental_load,
     read_dimension,
     read_fact,
+    read_rollup,
 )
 
 SCHEMA = T.StructType(
@@ -109,6 +112,44 @@ def stream_key_sequence(spark, sf_dir):
     return read_fact(spark, out, "numbered")
 
 
+CITY = T.StructType(
+    [
+        T.StructField("c_nationkey", T.IntegerType()),
+        T.StructField("c_mktsegment", T.StringType()),
+        T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_custkey", T.LongType()),
+    ]
+)
+BALANCES = RollUp(
+    "balances",
+    ["c_nationkey", "c_mktsegment"],
+    averages=["avg_key"],
+    sums=["cents", "cnt"],
+    prepare=lambda staged: staged.select(
+        "c_nationkey", "c_mktsegment", F.col("c_custkey").alias("avg_key"), F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"), F.lit(1).alias("cnt")
+    ),
+)
+
+
+@query(
+    "stream_rollup",
+    """
+    SELECT c_nationkey, c_mktsegment, avg(c_custkey) AS avg_key, sum(round(c_acctbal * 100)::BIGINT)::BIGINT AS cents, count(*) AS cnt
+    FROM customer GROUP BY 1, 2
+    """,
+)
+def stream_rollup(spark, sf_dir):
+    """Files of three runs, the last one late for keys that are long there; batches are merged in between."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "incremental")
+    rows = table(spark, sf_dir, "customer").select(*CITY.names)
+    for part in (1, 2, 0):
+        rows.where(F.col("c_custkey") % 3 == part).repartition(2, "c_custkey").write.mode("append").json(landing)
+        incremental_load(spark, landing, CITY, out, rollups=[BALANCES], max_files=1)
+        if part == 2:
+            compact_rollup(spark, out, BALANCES)
+    return read_rollup(spark, out, BALANCES)
+
+
 def _star(spark, sf_dir):
     """Two runs: the whole catalogue each time, and half the log."""
     star = IncrementalStar(scratch_path(spark, "incremental-star"), event_order=EVENT_ORDER, catalogue_order=CATALOGUE_ORDER)

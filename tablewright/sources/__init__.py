@@ -1,5 +1,8 @@
 """Readers with declared schemas, staging, and table writers."""
 
+from tablewright.sources.key_history import KeyHistory
+from tablewright.sources.ledger import Load
+from tablewright.sources.merge import upsert_files
 from tablewright.sources.readers import dated_path, read_csv, read_csv_rejects, read_json, read_parquet, register_views
 from tablewright.sources.staging import stage
 from tablewright.sources.writers import (
@@ -13,6 +16,8 @@ from tablewright.sources.writers import (
 )
 
 __all__ = [
+    "KeyHistory",
+    "Load",
     "create_table",
     "dated_path",
     "drop_table",
@@ -24,6 +29,7 @@ __all__ = [
     "read_parquet",
     "register_views",
     "stage",
+    "upsert_files",
     "write_bucketed",
     "write_csv",
     "write_table",

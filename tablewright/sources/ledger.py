@@ -43,6 +43,8 @@ class Load:
         self.mark = md5(name.encode()).hexdigest()
         self.aside = f"{self.root}/_loads/{self.mark}"
         self.modes: dict[str, str] = {}
+        #: files of a table, by their names in its folder, that the rows appended to it stand for
+        self.remove: dict[str, list[str]] = {}
 
     def path(self, table: str, mode: str = OVERWRITE) -> str:
         """Where the load writes its rows of a table, to be appended to it or to replace it."""
@@ -51,7 +53,7 @@ class Load:
 
     def publish(self, record: Mapping[str, Any] | None = None) -> None:
         """Put everything in place and record the load. All tables must be written."""
-        kept = {"load": self.name, "fresh": self.fresh, "tables": self.modes, **(record or {})}
+        kept = {"load": self.name, "fresh": self.fresh, "tables": self.modes, "remove": self.remove, **(record or {})}
         write_small(self.spark, f"{self.aside}/_complete", json.dumps(kept))
         _put_in_place(self.spark, self.root, self.aside)
 
@@ -70,6 +72,11 @@ def _put_in_place(spark: SparkSession, root: str, aside: str) -> None:
         for file in list_files(spark, source):
             folder, _, name = file.rpartition("/")
             rename_path(spark, f"{source}/{file}", f"{target}/{folder}{'/' * bool(folder)}{mark}-{name}")
+        remove_path(spark, source)
+    for table, files in record["remove"].items():
+        for file in files:
+            remove_path(spark, f"{root}/{table}/{file}")
+    for table in record["tables"]:
         for folder in list_folders(spark, root):
             if folder.startswith(f"{table}-replaced-"):
                 remove_path(spark, f"{root}/{folder}")

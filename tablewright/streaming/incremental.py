@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tablewright.operators.dimensions import merge_states, state_rows, upsert_state
 from tablewright.operators.keys import sequence_key
-from tablewright.storage import list_files, read_small, remove_path, stash, write_small
+from tablewright.storage import exists, list_files, read_small, remove_path, stash, write_small
 
 _BATCH = "batch"
 
@@ -51,6 +51,17 @@ class AppendFact:
     number_order: Sequence[str] = ()
 
 
+@dataclass(frozen=True)
+class RollUp:
+    """Averages and sums per key over all batches; ``prepare`` turns staged rows into its source rows."""
+
+    name: str
+    key: Sequence[str]
+    averages: Sequence[str] = ()
+    sums: Sequence[str] = ()
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+
+
 def incremental_load(
     spark: SparkSession,
     in_dir: str,
@@ -60,6 +71,7 @@ def incremental_load(
     dimensions: Sequence[UpsertDimension] = (),
     max_files: int = 1000,
     source_format: str = "json",
+    rollups: Sequence[RollUp] = (),
     **options: str,
 ) -> list[int]:
     """Load the files in ``in_dir`` that earlier runs have not; returns the ids of the batches run.
@@ -81,6 +93,9 @@ def incremental_load(
             rows = dim.prepare(staged) if dim.prepare else staged
             states = upsert_state(rows, dim.key, dim.order, dim.keep_first, dim.take_last)
             states.write.mode("overwrite").parquet(f"{out}/{dim.name}/{_BATCH}={batch_id}")
+        for rollup in rollups:
+            rows = rollup.prepare(staged) if rollup.prepare else staged
+            _partial_sums(rows, rollup).write.mode("overwrite").parquet(f"{out}/{rollup.name}/{_BATCH}={batch_id}")
         done.append(batch_id)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).options(**options)
@@ -96,6 +111,46 @@ def incremental_load(
     return done
 
 
+def _partial_sums(rows: DataFrame, rollup: RollUp) -> DataFrame:
+    """Sums, and for averages the number of values, of each key of a batch."""
+    sums = [F.sum(c).alias(f"sum_{c}") for c in dict.fromkeys([*rollup.averages, *rollup.sums])]
+    return rows.groupBy(*rollup.key).agg(*sums, *[F.count(c).alias(f"n_{c}") for c in rollup.averages])
+
+
+def _merged_sums(spark: SparkSession, root: str, rollup: RollUp) -> DataFrame:
+    states = spark.read.parquet(root)
+    if exists(spark, f"{root}/_compacted"):
+        # sums must not be added twice: this file says which folder stands for the batches up to which
+        kept = json.loads(read_small(spark, f"{root}/_compacted"))
+        states = states.where((F.col(_BATCH) == kept["folder"]) | (F.col(_BATCH) > kept["upto"]))
+    numbers = [c for c in states.columns if c not in (*rollup.key, _BATCH)]
+    return states.groupBy(*rollup.key).agg(*[F.sum(c).alias(c) for c in numbers])
+
+
+def read_rollup(spark: SparkSession, out: str, rollup: RollUp) -> DataFrame:
+    """The roll-up as of the last batch; a key whose values are all NULL has a NULL average and sum."""
+    states = _merged_sums(spark, f"{out.rstrip('/')}/{rollup.name}", rollup)
+    averages = [(F.col(f"sum_{c}") / F.nullif(F.col(f"n_{c}"), F.lit(0))).alias(c) for c in rollup.averages]
+    return states.select(*rollup.key, *averages, *[F.col(f"sum_{c}").alias(c) for c in rollup.sums])
+
+
+def compact_rollup(spark: SparkSession, out: str, rollup: RollUp) -> None:
+    """Put one folder in the place of a roll-up's batches. Run it between loads.
+
+    Readers take the new folder once a small file names it, and old ones until then, so no batch is ever counted twice.
+    """
+    root = f"{out.rstrip('/')}/{rollup.name}"
+    batches = [row[_BATCH] for row in spark.read.parquet(root).select(_BATCH).distinct().collect()]
+    if len(batches) < 2:
+        return
+    # folders of merged batches count down from -1, which no batch id uses
+    target = min(0, *batches) - 1
+    _merged_sums(spark, root, rollup).write.mode("overwrite").parquet(f"{root}/{_BATCH}={target}")
+    write_small(spark, f"{root}/_compacted", json.dumps({"folder": target, "upto": max(batches)}))
+    for batch_id in batches:
+        remove_path(spark, f"{root}/{_BATCH}={batch_id}")
+
+
 def _numbered(spark: SparkSession, rows: DataFrame, fact: AppendFact, out: str, batch_id: int) -> DataFrame:
     """Rows with the numbers that the ledger reserves for this batch."""
     ranges = f"{out}/_ranges/{fact.name}"
