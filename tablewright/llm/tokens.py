@@ -57,14 +57,13 @@ def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Encoder:
-    """Ids of many texts at once. ``end_id``, where given, follows every text."""
+    """Ids of many texts at once. ``end_id``, where given, follows every text. Strings of special tokens in a text get their ids, as the library gives them."""
 
     def __init__(self, path: str, end_id: int | None = 2) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         vocabulary = self._tokenizer.get_vocab()
         self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self._opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import pytest
 from conftest import rows as sorted_rows
 from llm.test_groups import brute_texts
 from llm.test_mixing import check_mix
 from llm.test_tokens import check_packing, whole
+from pyspark.sql import functions as F
 
 from tablewright.llm.queries import table
 from tablewright.storage import stash
@@ -60,3 +62,26 @@ def test_empty_documents_pass_through(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stash(stage(spark, docs, sf_dir), "test")
         assert docs.count() == 0
+
+
+def test_one_row_of_each_document_and_no_unlike_text_goes(spark):
+    same = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (3, same, "en", "b", 1), (11, same, "en", "a", 1), (11, "quite another text that nobody else has ever written down here", "en", "a", 1),
+        (11, same + " ", "de", "a", 1), (20, "alone", "en", "a", 1), (20, "alone", "en", "b", 1), (20, "alone", "en", "b", 1),
+        (None, same, "en", "a", 1), (None, "a text without an id that stands here twice", "en", "a", 1), (None, "a text without an id that stands here twice", "en", "a", 1),
+        (30, "", "en", "a", 1), (31, "", "en", "a", 1), (32, None, "en", "a", 1), (32, None, "en", "a", 1), (33, " ", "en", "a", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = corpus_pipeline.keep_one_copy(spark, docs, "")
+    assert kept.columns == docs.columns
+    wanted = [rows[i] for i in (0, 2, 4, 8, 10, 11, 12, 14)]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(wanted, key=repr)
+    mix = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mix.columns == docs.columns
+    assert {r.text for r in mix.collect()} <= {r[1] for r in rows}
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert sum(p.length for p in packed) == sum(map(len, whole([r[1] for r in rows])))
+    for stage, name in ((corpus_pipeline.keep_one_copy, "_row"), (corpus_pipeline.mix_sources, "_time")):
+        with pytest.raises(ValueError, match="inside"):
+            stage(spark, docs.withColumn(name, F.lit(1)), "")

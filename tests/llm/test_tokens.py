@@ -15,12 +15,11 @@ from tablewright.llm.hashing import shingles, text_bytes, word_hashes
 from tablewright.llm.queries import QUERIES, table
 from tablewright.llm.tokens import Encoder, default_tokenizer
 
-ODD = ["", None, "a", " ", "  a  b ", "x  y", "a   \nb c", "don't 1 2", "<|endoftext|> z", "é à ü ", "\x1c x \x1f y", "a　 b  c", "tab\t x", "日本 語 x", "the the. \n\n the"]
+ODD = ["", None, "a", " ", "  a  b ", "x  y", "a   \nb c", "don't 1 2", "<|endoftext|> z", "<|endoftext|>", "x <|endoftext|> y", "x<|endoftext|><|endoftext|> <|endoftext|>  z ", "é à ü ", "\x1c x \x1f y", "a　 b  c", "tab\t x", "日本 語 x", "the the. \n\n the"]
 
 
 def whole(texts):
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
 
 
