@@ -114,8 +114,11 @@ def format_chats(records: DataFrame, record: str = "record", mappings: Sequence[
     """Records with ``layout``, ``formatted``, and per turn ``turn_chars`` (its code points in the formatted text) and ``turn_loss``.
 
     Only texts of assistant turns bear loss. A record that is NULL, not JSON or of an unknown layout keeps its row with NULL in the new
-    columns. A NULL or missing text is empty, a record without turns gives an empty text. Repeated rows stay.
+    columns. A NULL or missing text is empty, a record without turns gives an empty text. Repeated rows stay. The columns, and two that are used
+    inside, must be new; all others pass through.
     """
+    if used := {"layout", "formatted", "turn_chars", "turn_loss", "_turns", "_parts"} & set(records.columns):
+        raise ValueError(f"columns {sorted(used)} exist already")
     layout, turns = canonical_turns(F.col(record), mappings)
 
     def one(t: Column) -> Column:

@@ -242,3 +242,15 @@ def test_every_conversation_reads_back(spark, sf_dir):
 def test_chat_formatting_runs_no_python(spark, sf_dir, name):
     text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_chat_records_without_rows_and_with_clashing_names(spark):
+    records = spark.createDataFrame([(1, '{"prompt": "a", "response": null}'), (1, '{"prompt": "a", "response": null}'), (2, None), (3, "{}"), (4, "no json")], "id long, record string")
+    rows = chat.format_chats(records).collect()
+    assert [r.layout is None for r in sorted(rows, key=lambda r: r.id)][:2] == [False, False]
+    assert [r.formatted for r in rows if r.id in (2, 4)] == [None, None]
+    assert len(rows) == 5
+    assert chat.format_chats(records.limit(0)).count() == 0
+    for name in ("layout", "formatted", "turn_loss", "_parts"):
+        with pytest.raises(ValueError, match="exist"):
+            chat.format_chats(records.withColumnRenamed("id", name))
