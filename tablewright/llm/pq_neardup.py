@@ -3,7 +3,8 @@
 Vectors stand in coarse inverted lists as codes of their residuals in subspaces. Each vector also searches the lists whose
 centroids are nearest to it: table look-ups give the product of query and coded vector, and with the coding error of each
 entry an upper bound of their cosine; what passes it is compared exactly in double precision. The bound loses no pair; a pair
-is missed only if neither of the two searches the other's list (``tests/llm`` measures the recall against brute force).
+is missed only if neither of the two searches the other's list. The number of lists searched grows with the root of the number of lists
+(``tests/llm`` measures the recall on planted pairs). Each length of vectors has an index of its own.
 
 Equal vectors are one entry that counts its copies. Links are not written out: a task returns for each vector how many
 partners it has and the smallest id it is joined with inside the task.
@@ -24,6 +25,23 @@ from tablewright.storage import stash
 
 #: entries and queries of one comparison at most; longer lists are split into blocks
 BLOCK = 2048
+#: rows whose distances to all centroids are held at once
+_ROWS = 512
+LINKS = "id long, links long, root long"
+
+
+def probes_for(lists: int) -> int:
+    """How many of ``lists`` lists a vector searches."""
+    return min(lists, max(8, round(0.5 * lists**0.5)))
+
+
+def _closest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each row, worked out for a block of rows at a time."""
+    half = 0.5 * (centres**2).sum(1)
+    out = np.empty(len(rows), np.int64)
+    for s in range(0, len(rows), _ROWS):
+        out[s : s + _ROWS] = np.argmax(rows[s : s + _ROWS] @ centres.T - half, axis=1)
+    return out
 
 
 @dataclass(frozen=True)
@@ -46,7 +64,7 @@ class Index:
         codes, back = np.empty((len(residual), parts), np.uint8), np.empty_like(residual)
         for m in range(parts):
             piece = residual[:, m * width : (m + 1) * width]
-            codes[:, m] = np.argmin((self.books[m] ** 2).sum(1) - 2 * piece @ self.books[m].T, axis=1)
+            codes[:, m] = _closest(piece, self.books[m])
             back[:, m * width : (m + 1) * width] = self.books[m][codes[:, m]]
         return codes, back
 
@@ -54,7 +72,7 @@ class Index:
 def _kmeans(rows: np.ndarray, number: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
     centres = rows[rng.choice(len(rows), min(number, len(rows)), replace=False)]
     for _ in range(rounds):
-        own = np.argmin((centres**2).sum(1) - 2 * rows @ centres.T, axis=1)
+        own = _closest(rows, centres)
         sums, count = np.zeros_like(centres), np.bincount(own, minlength=len(centres))
         np.add.at(sums, own, rows)
         centres = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
@@ -65,8 +83,7 @@ def fit_index(sample: np.ndarray, lists: int, subspaces: int = 16, codes: int =
     """Index of a sample of unit vectors; at least one. The dimension is cut into at most ``subspaces`` equal parts."""
     rng = np.random.default_rng(seed)
     centroids = _kmeans(sample, lists, rng)
-    own = np.argmin((centroids**2).sum(1) - 2 * sample @ centroids.T, axis=1)
-    residual = sample - centroids[own]
+    residual = sample - centroids[_closest(sample, centroids)]
     while sample.shape[1] % subspaces:
         subspaces -= 1
     books = [_kmeans(p, codes, rng) for p in np.split(residual, subspaces, axis=1)]
@@ -177,58 +194,85 @@ def _links(index: Index, place: int, dim: int, least: float, table: pa.Table) ->
     )
 
 
+def _sample(entries: DataFrame, number: int, rows: int, dim: int) -> np.ndarray:
+    """At most ``rows`` unit vectors, those of the smallest hashes of keys; a hash threshold leaves few more before they are ordered."""
+    share = min(1.0, (1.2 * rows + 1000) / number)
+    hashed = entries.select("raw", F.xxhash64("id").alias("h"), "id").where(F.col("h") / 2.0**64 + 0.5 <= share)
+    chosen = hashed.orderBy("h", "id").limit(rows).select("raw").toArrow()
+    return _unit(_matrix(chosen.column("raw").combine_chunks(), dim))
+
+
+def _searched(entries: DataFrame, number: int, dim: int, least: float, probes: int | None, max_lists: int, fit_rows: int) -> DataFrame:
+    """Links of the entries of one length, by an index of their own."""
+    spark = entries.sparkSession
+    index = fit_index(_sample(entries, number, fit_rows, dim), min(max_lists, max(1, round(2 * number**0.5))))
+    placed = stash(_place(entries, index, dim, probes or probes_for(len(index.centroids))), "pq-placed")
+
+    # sizes of lists: one row per list
+    own = {r["own"]: r["count"] for r in placed.groupBy("own").count().collect()}
+    search = {r["list"]: r["count"] for r in placed.select(F.explode("probes").alias("list")).groupBy("list").count().collect()}
+    blocks = [(i, -(-own[i] // BLOCK), -(-search.get(i, 0) // BLOCK)) for i in own]
+    blocks = F.broadcast(spark.createDataFrame(blocks, "list int, e_blocks long, q_blocks long"))
+    held = placed.select(F.lit(True).alias("entry"), F.col("own").alias("list"), *placed.columns)
+    asked = placed.select(F.lit(False).alias("entry"), F.explode("probes").alias("list"), *placed.columns)
+    mark = F.xxhash64("id")
+    held = held.join(blocks, "list").select(
+        "*", F.pmod(mark, "e_blocks").alias("e_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1)).alias("q_block")
+    )
+    asked = asked.join(blocks, "list").select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("e_blocks") - 1)).alias("e_block"), F.pmod(mark, "q_blocks").alias("q_block")
+    )
+    columns = ["list", "e_block", "q_block", "entry", "id", "weight", "raw", "own", "probes"]
+    shared = spark.sparkContext.broadcast(index)
+
+    def compare(group: tuple, table: pa.Table) -> pa.Table:
+        return _links(shared.value, group[0].as_py(), dim, least, table)
+
+    met = held.select(columns).union(asked.select(columns)).groupBy("list", "e_block", "q_block")
+    return met.applyInArrow(compare, LINKS)
+
+
+def _compared(entries: DataFrame, least: float) -> DataFrame:
+    """Links of entries whose lengths are rare: each length is one list, whose code is the zero vector, so all its pairs are compared."""
+
+    def compare(group: tuple, table: pa.Table) -> pa.Table:
+        dim = group[0].as_py()
+        return _links(Index(np.zeros((1, dim)), np.zeros((1, 1, dim))), 0, dim, least, table)
+
+    columns = ["dim", "id", "weight", "raw", F.lit(0).alias("own"), F.array(F.lit(0)).alias("probes")]
+    rows = entries.select(F.explode(F.array(F.lit(True), F.lit(False))).alias("entry"), *columns)
+    return rows.groupBy("dim").applyInArrow(compare, LINKS)
+
+
 def near_duplicates(
     vectors: DataFrame,
     least: float = 0.9,
-    probes: int = 8,
+    probes: int | None = None,
     max_lists: int = 4096,
     fit_rows: int = 32_768,
+    index_from: int = 32,
     key: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
     """Per row of ``vectors``: key, n_links, component_id, kept (the key is its component's smallest).
 
-    Vectors link when their cosine is ``least`` or more. Vectors that are NULL, empty, zero, or hold NULL or non-finite components
-    link with nothing, as do vectors of another length than most and rows with a NULL key. Rows with equal keys
-    count as copies of each other's vectors do. The index is fitted on at most ``fit_rows`` vectors, chosen by a hash of
-    their keys, and holds every vector in 2 * sqrt(distinct vectors) lists, at most ``max_lists``. An empty table gives no rows.
+    Vectors of one length link when their cosine is ``least`` or more. Vectors that are NULL, empty, zero, or hold NULL or non-finite
+    components link with nothing, as do rows with a NULL key. Rows with equal keys
+    count as copies of each other's vectors do. Each length has its own index, fitted on at most ``fit_rows`` vectors, chosen by a hash of
+    their keys; it holds every vector in 2 * sqrt(distinct vectors) lists, at most ``max_lists``, of which a vector searches ``probes``
+    (default: ``probes_for``). Lengths of fewer than ``index_from`` distinct vectors are compared pair by pair. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     raw = stash(_raw_vectors(vectors, key, vector), "pq-raw")
-    good = raw.where("raw IS NOT NULL AND id IS NOT NULL")
-    common = good.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    dim = common["dim"] if common else 1
-    entries = good.where(F.col("dim") == dim).groupBy("raw").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-    entries = stash(entries.select("id", "weight", "raw"), "pq-entries")
-    number = entries.count()
-    links = spark.createDataFrame([], "id long, links long, root long")
-    if number:
-        sample = entries.select("raw", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(fit_rows).select("raw").toArrow()
-        index = fit_index(_unit(_matrix(sample.column("raw").combine_chunks(), dim)), min(max_lists, max(1, round(2 * number**0.5))))
-        placed = stash(_place(entries, index, dim, probes), "pq-placed")
-
-        # sizes of lists: one row per list
-        own = {r["own"]: r["count"] for r in placed.groupBy("own").count().collect()}
-        search = {r["list"]: r["count"] for r in placed.select(F.explode("probes").alias("list")).groupBy("list").count().collect()}
-        blocks = [(i, -(-own[i] // BLOCK), -(-search.get(i, 0) // BLOCK)) for i in own]
-        blocks = F.broadcast(spark.createDataFrame(blocks, "list int, e_blocks long, q_blocks long"))
-        held = placed.select(F.lit(True).alias("entry"), F.col("own").alias("list"), *placed.columns)
-        asked = placed.select(F.lit(False).alias("entry"), F.explode("probes").alias("list"), *placed.columns)
-        mark = F.xxhash64("id")
-        held = held.join(blocks, "list").select(
-            "*", F.pmod(mark, "e_blocks").alias("e_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1)).alias("q_block")
-        )
-        asked = asked.join(blocks, "list").select(
-            "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("e_blocks") - 1)).alias("e_block"), F.pmod(mark, "q_blocks").alias("q_block")
-        )
-        columns = ["list", "e_block", "q_block", "entry", "id", "weight", "raw", "own", "probes"]
-        shared = spark.sparkContext.broadcast(index)
-
-        def compare(group: tuple, table: pa.Table) -> pa.Table:
-            return _links(shared.value, group[0].as_py(), dim, least, table)
-
-        met = held.select(columns).union(asked.select(columns)).groupBy("list", "e_block", "q_block")
-        links = stash(met.applyInArrow(compare, "id long, links long, root long"), "pq-links")
+    usable = F.col("raw").isNotNull() & F.col("id").isNotNull()
+    entries = raw.where(usable).groupBy("raw").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.first("dim").alias("dim"))
+    entries = stash(entries.select("id", "weight", "raw", "dim"), "pq-entries")
+    sizes = entries.groupBy("dim").count()
+    large = {r["dim"]: r["count"] for r in sizes.where(F.col("count") >= index_from).orderBy("dim").collect()}
+    links = stash(_compared(entries.join(F.broadcast(spark.createDataFrame([(d,) for d in large], "dim int")), "dim", "left_anti"), least), "pq-links")
+    for dim, number in large.items():
+        own = entries.where(F.col("dim") == dim).select("id", "weight", "raw")
+        links = links.union(stash(_searched(own, number, dim, least, probes, max_lists, fit_rows), "pq-links"))
     total = links.groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(links, "id", "root")
     found = (
@@ -236,8 +280,7 @@ def near_duplicates(
         .join(joined, "id", "left")
         .select("raw", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("c"))
     )
-    usable = F.col("dim") == dim
-    back = raw.join(found.withColumnRenamed("raw", "r"), (F.col("raw") == F.col("r")) & usable & F.col("id").isNotNull(), "left")
+    back = raw.join(found.withColumnRenamed("raw", "r"), (F.col("raw") == F.col("r")) & usable, "left")
     component = F.coalesce("c", "id")
     return back.select(
         F.col("id").alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"),

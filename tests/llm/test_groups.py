@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -134,3 +135,40 @@ def test_recall_of_the_index(spark, folder, sf_dir):
     got = np.array([found[i] for i in ids])
     assert (got <= wanted).all()
     assert got.sum() >= 0.9 * wanted.sum()
+
+
+@pytest.mark.parametrize("index_from", [1, 32])
+def test_each_length_of_vectors_has_its_links(spark, index_from):
+    """A common length, one with an index of its own, and two rare ones."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3).tolist()) for i in range(120)]
+    rows += [(i, rng.standard_normal(6).tolist()) for i in range(200, 240)]
+    rows += [(i, (np.array(rows[i - 180][1]) * 3).tolist()) for i in range(300, 340)]
+    rows += [(400, [1.0, 1.0]), (401, [1.0, 1.0]), (402, [1.0, 1.01]), (403, [1.0, -1.0]), (404, [2.0]), (405, [1.0, 0.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    # every list is searched, so nothing can be missed
+    found = pq_neardup.near_duplicates(vectors, probes=64, index_from=index_from)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found.collect()} == brute_vectors(rows)
+
+
+@pytest.mark.parametrize("lists", [1000, 4096])
+def test_planted_pairs_are_found_in_bounded_memory(lists):
+    """Vectors without structure, the worst case for lists: pairs at the threshold itself and closer ones."""
+    rng = np.random.default_rng(lists)
+
+    def unit(rows):
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    sample, one = unit(rng.standard_normal((32_768, 64))), unit(rng.standard_normal((3000, 64)))
+    tracemalloc.start()
+    index = pq_neardup.fit_index(sample, lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    aside = rng.standard_normal(one.shape)
+    aside = unit(aside - (aside * one).sum(1, keepdims=True) * one)
+    for cosine in (0.9, 0.95):
+        other = cosine * one + np.sqrt(1 - cosine**2) * aside
+        near, far = (index.nearest(v, pq_neardup.probes_for(lists)) for v in (one, other))
+        found = (near == far[:, :1]).any(1) | (far == near[:, :1]).any(1)
+        assert found.mean() >= 0.95
