@@ -254,3 +254,72 @@ def test_chat_records_without_rows_and_with_clashing_names(spark):
     for name in ("layout", "formatted", "turn_loss", "_parts"):
         with pytest.raises(ValueError, match="exist"):
             chat.format_chats(records.withColumnRenamed("id", name))
+
+
+def test_dictionary_does_not_depend_on_layout(spark, sf_dir, empty):
+    docs = table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents").select("text")
+    one = secrets.common_words(docs.coalesce(1))
+    assert one == secrets.common_words(docs.repartition(100))
+    count, total = Counter(), 0
+    for r in docs.collect():
+        own = words(r.text)
+        total += len(own)
+        count.update(w for w in own if len(w) >= 3 and w.isalpha())
+    assert one == {secrets._word_hash(w.decode()) for w, n in count.items() if n >= max(2, 2e-5 * total)} and len(one) > 100
+    assert secrets.common_words(empty) == frozenset()
+
+
+def test_forest_scores_are_those_of_its_trees(spark):
+    rng = np.random.default_rng(4)
+    rows, labels = rng.standard_normal((300, 12)), rng.integers(0, 2, 300)
+    forest = secrets.Forest(secrets.grow(rows, labels), 0.5, frozenset())
+
+    def leaf(tree, row):
+        at = 0
+        while tree[0][at] >= 0:
+            at = tree[2][at] if row[tree[0][at]] <= tree[1][at] else tree[3][at]
+        return tree[4][at]
+
+    new = rng.standard_normal((200, 12))
+    assert np.allclose(forest.score(new), [np.mean([leaf(t, r) for t in forest.trees]) for r in new])
+
+
+def test_dictionary_coverage_decides(spark):
+    """Labels by hand that no published form restates: names put together from words of the texts are none, random letters of like form are secrets."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    spoken = ["".join(rng.choice(letters, 6)) for _ in range(60)]
+
+    def run(real):
+        parts = ["".join(rng.choice(letters, 6)) for _ in range(4)] if real else rng.choice(spoken, 4)
+        return "-".join(parts) + "7"
+
+    def texts(first, number):
+        return [(i, f"{' '.join(rng.choice(spoken, 12))} the value {run(i % 2)} stands here") for i in range(first, first + number)]
+
+    docs = spark.createDataFrame(texts(0, 400), "doc_id long, text string")
+    known = secrets.common_words(docs)
+    hand = []
+    for i, text in ((r.doc_id, r.text) for r in docs.collect()):
+        for start, end in secrets.candidates(text):
+            hand.append((i, i % 2, [float(x) for x in secrets.features(text, start, end, "", known)]))
+    assert len(hand) == 400
+    forest = secrets.fit(docs, spark.createDataFrame(hand, "mark long, label int, features array<float>"))
+    new = spark.createDataFrame(texts(1000, 200), "doc_id long, text string")
+    # none of the dictionary's words, so that coverage says nothing
+    blind = secrets.Forest(forest.trees, forest.prior, frozenset())
+    with_words = {r.doc_id: len(r.secrets.found) for r in secrets.scan(new, forest).collect()}
+    without = {r.doc_id: len(r.secrets.found) for r in secrets.scan(new, blind).collect()}
+    caught = sum(with_words[i] for i in with_words if i % 2)
+    wrong = sum(with_words[i] for i in with_words if i % 2 == 0)
+    assert caught >= 95 and wrong <= 5
+    assert sum(without[i] for i in without if i % 2 == 0) > 50
+
+
+def test_secrets_in_odd_rows(spark):
+    docs = spark.createDataFrame([(None, None), (1, ""), (1, "word " * 300_000 + f'token = "{KEY}"'), (1, "")], "doc_id long, text string")
+    forest = secrets.Forest(secrets.grow(np.zeros((4, secrets.FEATURES)), np.array([0, 1, 0, 1])), 0.5, frozenset())
+    found = secrets.scan(docs, forest).collect()
+    assert sorted(r.secrets.n_candidates for r in found) == [0, 0, 0, 1]
+    with pytest.raises(ValueError):
+        secrets.scan(docs.withColumn("secrets", docs.text), forest)
