@@ -101,29 +101,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return rows.select("source", "part", "source_size", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] = (5, 2, 1),
-    share: float = 1.5,
-    most: int = 2,
-    shards: int = 64,
-    block_words: int = 4096,
-    seed: int = 20240607,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-) -> DataFrame:
-    """Per row of ``docs``: key, source, size, source_size, target, taken and ``draws`` (pass, shard, place of each time it is taken).
+def _mark(key: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), key.cast("string"))
 
-    size is the number of words, 0 for NULL. A source is passed through at most ``most`` times; the last pass takes whole blocks,
-    then documents of one more block up to the one whose middle the target lies nearest, so taken words miss the target by at
-    most half a document. NULL is a source of its own. Rows with equal keys are taken alike. Blocks depend on keys and ``seed`` alone, so
-    reruns agree. An empty table gives no rows. Other columns are not read.
+
+def _draws(
+    docs: DataFrame, weights: Sequence[float], share: float, most: int, block_words: int, seed: int, key: str, text: str, source: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their blocks; a row per source with its target and number of blocks; and the blocks drawn in each pass.
+
+    A pass draws a source's blocks from the first on. ``cut`` is the words wanted of the one block that is not drawn whole.
     """
-    spark = docs.sparkSession
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("long")
-    mark = F.xxhash64(F.lit(seed), F.col(key).cast("string"))
-    sized = stash(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"), mark.alias("mark")), "mix-sized")
+    sized = stash(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"), _mark(F.col(key), seed).alias("mark")), "mix-sized")
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     count = F.greatest(F.lit(1), F.round(F.col("source_size") / block_words)).cast("long")
     sources = stash(sources.withColumn("n_blocks", count), "mix-sources")
@@ -166,8 +156,39 @@ def mix(
         (F.col("pass") * F.col("blocks_of_part") + F.col("index")).alias("position"),
         F.when(F.col("room") < F.col("words"), F.col("room")).alias("cut"),
     )
-    draws = stash(draws, "mix-draws")
+    return here, sources, stash(draws, "mix-draws")
+
+
+def _cut_rows(rows: DataFrame) -> DataFrame:
+    """Rows of cut blocks, with ``upto``: the words of the block up to and with the row. A cut block holds few rows with words."""
+    order = Window.partitionBy("part", "block").orderBy("mark", "key", "size").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("upto", F.sum("size").over(order))
+
+
+def _fits(cut: Column) -> Column:
+    return F.col("upto") - F.col("size") / 2 <= cut
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: int = 2,
+    shards: int = 64,
+    block_words: int = 4096,
+    seed: int = 20240607,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """Per row of ``docs``: key, source, size, source_size, target, taken and ``draws`` (pass, shard, place of each time it is taken).
 
+    size is the number of words, 0 for NULL. A source is passed through at most ``most`` times; the last pass takes whole blocks,
+    then documents with words of one more block up to the one whose middle the target lies nearest, so taken words miss the target by at
+    most half a document. NULL is a source of its own. Rows with equal keys are taken alike. Blocks depend on keys and ``seed`` alone, so
+    reruns agree. An empty table gives no rows. Other columns are not read.
+    """
+    here, _, draws = _draws(docs, weights, share, most, block_words, seed, key, text, source)
     quotas = draws.groupBy("part").agg(F.count("*").alias("blocks"))
     leaves = stash(split_quotas(quotas, shards, seed), "mix-shards")
     ahead = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,11 +199,13 @@ def mix(
         .groupBy("part", "block")
         .agg(F.sort_array(F.collect_list(F.struct("pass", "shard", "cut"))).alias("drawn"))
     )
-    upto = F.sum("size").over(Window.partitionBy("part", "block").orderBy("mark", "key", "size").rowsBetween(Window.unboundedPreceding, 0))
-    taken = here.withColumn("upto", upto).join(by_block, ["part", "block"], "left")
+    taken = here.join(by_block, ["part", "block"], "left")
+    # only rows of cut blocks are put in order; rows without words add nothing to them, however many they are
+    ordered = F.exists(F.coalesce("drawn", F.array()), lambda d: d["cut"].isNotNull()) & (F.col("size") > 0)
+    taken = _cut_rows(taken.where(ordered)).unionByName(taken.where(~ordered).withColumn("upto", F.lit(None).cast("long")))
 
     def wanted(d: Column) -> Column:
-        return d["cut"].isNull() | (F.col("upto") - F.col("size") / 2 <= d["cut"])
+        return d["cut"].isNull() | F.coalesce(_fits(d["cut"]), F.lit(False))
 
     def placed(d: Column) -> Column:
         return F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), F.xxhash64(F.lit(seed + 1), F.col("mark"), d["pass"]).alias("place"))
@@ -201,3 +224,54 @@ def mixed(docs: DataFrame, plan: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     taken = plan.select(key, F.explode("draws").alias("draw")).select(key, "draw.*")
     return docs.join(taken, key).repartition("shard", F.pmod("place", F.lit(16))).sortWithinPartitions("shard", "place")
+
+
+#: sources, and rows of cut blocks, that a broadcast may hold; beyond it the joins shuffle
+BROADCAST_ROWS = 100_000
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def repeat_in_place(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: int = 2,
+    block_words: int = 4096,
+    seed: int = 20240607,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them, with all their columns and none else, where they lie: texts are not shuffled.
+
+    A pass draws a source's blocks up to a limit and some documents of the next one, so a row's number follows from one row of numbers for
+    its source, and a look-up in the keys taken of cut blocks. Rows of one source with equal keys, NULL included, are taken alike: as often as
+    the one of them that is taken most. NULL is a source, NULL texts hold no words.
+    """
+    inside = {"_source", "_part", "_blocks", "_passes", "_block", "_in", "_key", "_more", "_time"}
+    if used := inside & set(docs.columns):
+        raise ValueError(f"columns {sorted(used)} are used inside")
+    here, sources, draws = _draws(docs, weights, share, most, block_words, seed, key, text, source)
+    # blocks drawn whole are those up to ``last``; -1 where there are none
+    limits = draws.groupBy("part", "pass").agg(
+        F.coalesce(F.max(F.when(F.col("cut").isNull(), F.col("block"))), F.lit(-1)).alias("last"),
+        F.max(F.when(F.col("cut").isNotNull(), F.col("block"))).alias("cut_block"),
+    )
+    passes = limits.groupBy("part").agg(F.collect_list(F.struct("last", "cut_block")).alias("_passes"))
+    numbers = sources.join(passes, "part").select(F.col("source").alias("_source"), F.col("part").alias("_part"), F.col("n_blocks").alias("_blocks"), "_passes")
+    numbers = _small(stash(numbers, "mix-limits"))
+
+    cuts = _small(stash(draws.where("cut IS NOT NULL").groupBy("part", "block").agg(F.collect_list("cut").alias("cuts")), "mix-cuts"))
+    rows = _cut_rows(here.where("size > 0").join(cuts, ["part", "block"]))
+    more = rows.withColumn("more", F.size(F.filter("cuts", _fits))).where("more > 0")
+    more = more.groupBy(F.col("part").alias("_in"), F.col("key").alias("_key")).agg(F.max("more").alias("_more"))
+
+    # rows of another source than any known one do not exist: the sources are those of ``docs``
+    out = docs.join(numbers, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_block", F.pmod(_mark(F.col(key), seed), "_blocks"))
+    out = out.join(_small(stash(more, "mix-more")), (F.col("_part") == F.col("_in")) & F.col(key).eqNullSafe(F.col("_key")), "left")
+    whole = F.size(F.filter("_passes", lambda p: F.col("_block") <= p["last"]))
+    times = whole + F.coalesce("_more", F.lit(0))
+    return out.withColumn("_time", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)

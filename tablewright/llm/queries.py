@@ -136,7 +136,7 @@ def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_splitting_tree_mix")
 def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 @query("op10_best_fit_packing")

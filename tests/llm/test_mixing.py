@@ -106,3 +106,38 @@ def test_query_runs_no_python(spark, sf_dir):
     docs = {r.doc_id: (r.doc_id, r.source, r.text) for r in table(spark, sf_dir, "documents").collect()}
     source = spark.createDataFrame([(k, v[1]) for k, v in docs.items()], "doc_id long, source string")
     check_mix(found.join(source, "doc_id").collect(), docs.values())
+
+
+def test_rows_repeated_in_place_are_those_of_the_plan(spark, docs, empty):
+    plan = mixing.mix(docs, shards=3, block_words=20).collect()
+    times: dict = {}
+    for r in plan:
+        times[r.source, r.doc_id] = max(times.get((r.source, r.doc_id), 0), len(r.draws))
+    wanted = sorted(repr(r) for r in docs.collect() for _ in range(times[r.source, r.doc_id]))
+    found = mixing.repeat_in_place(docs, block_words=20)
+    assert found.columns == docs.columns
+    assert sorted(map(repr, found.collect())) == wanted
+    assert mixing.repeat_in_place(empty).count() == 0
+    with pytest.raises(ValueError, match="inside"):
+        mixing.repeat_in_place(docs.withColumn("_block", F.lit(1)))
+
+
+def test_texts_stay_where_they_lie(spark, sf_dir):
+    docs = table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents")
+    found = mixing.repeat_in_place(docs)
+    plan = mixing.mix(docs).collect()
+    assert sorted(r.doc_id for r in found.select("doc_id").collect()) == sorted(r.doc_id for r in plan for _ in r.draws)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text and "Python" not in text and "Arrow" not in text
+
+
+def test_blank_rows_and_missing_keys_of_a_hot_source(spark):
+    """Many rows without words, and many without a key, beside some of each."""
+    docs = spark.range(600).select(
+        F.expr("if(id % 3 = 0, NULL, id)").alias("doc_id"),
+        F.expr("if(id % 2 = 0, 'blank', 'some')").alias("source"),
+        F.expr("CASE WHEN id % 2 = 0 AND id > 8 THEN ' ' WHEN id % 5 = 0 THEN NULL ELSE repeat('w ', 7) END").alias("text"),
+    )
+    rows = mixing.mix(docs, shards=4, block_words=50).collect()
+    check_mix(rows, [(r.doc_id, r.source, r.text) for r in docs.collect()], longest_slack=1.0)
+    assert len(rows) == 600 and all(r.taken == r.size * len(r.draws) for r in rows)
