@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import item_of_split, parse_date
 from tablewright.operators import calendar_union, dim_distinct, observe_faults, raise_on_failure, roll_up, run_checks
-from tablewright.sources import Load, write_table
+from tablewright.sources import Load, Release, write_table
 from tablewright.sources.ledger import finish_loads
 from tablewright.storage import run_together
 
@@ -67,15 +67,24 @@ def build_lake(
     airports: DataFrame,
     out: str,
     check: bool = False,
+    released: bool = False,
 ) -> DataFrame:
     """Write the seven tables below ``out`` and return the check report for all of them.
 
     All are written aside, counted meanwhile, and then put in the place of older ones together; a build that breaks off before leaves
     the old tables as they were. The checks scan each table once, for repeated rows.
+
+    ``released`` makes the tables a release of ``out`` instead, to be read with ``read_release``: readers then see all seven change at
+    one moment, and only if the checks pass where ``check`` is set.
     """
     tables, out = lake_tables(records, demographics, airports), out.rstrip("/")
-    finish_loads(spark, out)
-    this, seen = Load(spark, out, uuid4().hex, fresh=True), {}
+    this: Load | Release
+    if released:
+        this = Release(spark, out)
+    else:
+        finish_loads(spark, out)
+        this = Load(spark, out, uuid4().hex, fresh=True)
+    seen = {}
 
     def write(name: str, df: DataFrame) -> None:
         def observe(rows: DataFrame) -> DataFrame:
@@ -86,6 +95,12 @@ def build_lake(
 
     run_together(spark, [partial(write, name, df) for name, df in tables.items()])
     counts = {name: mark.get for name, mark in seen.items()}
+    if isinstance(this, Release):
+        report = run_checks(spark, f"{out}/{this.folder}", list(tables), counts=counts)
+        if check:
+            raise_on_failure(report)
+        this.publish()
+        return report
     this.publish({"counts": counts})
     report = run_checks(spark, out, list(tables), counts=counts)
     if check:

@@ -51,7 +51,8 @@ def build_lookups(
     jobs = [partial(write_csv, events, f"{out}/consolidated_csv", quote_all=True)]
     for name in only:
         place, sort = LOOKUP_KEYS[name]
-        jobs.append(partial(write_table, tables[name], f"{out}/{name}", cluster_by=place, sort_by=sort))
+        # files are ranges of the first key; the others are found by an index
+        jobs.append(partial(write_table, tables[name], f"{out}/{name}", cluster_by=place, sort_by=sort, index=[*place, *sort][1:]))
     run_together(spark, jobs)
     return {name: read_parquet(spark, f"{out}/{name}") for name in only}
 

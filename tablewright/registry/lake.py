@@ -17,7 +17,7 @@ from tablewright.registry.derived import (
     arrivals,
     demographics,
 )
-from tablewright.sources import read_csv, write_csv
+from tablewright.sources import read_csv, read_release, write_csv
 from tablewright.storage import scratch_path, stash
 
 BASE = f"WITH rec AS ({ARRIVALS_SQL}), dem AS ({DEMOGRAPHICS_SQL}), air AS ({AIRPORTS_SQL})"
@@ -74,7 +74,7 @@ for _name in TABLES:
     _register(_name)
 
 
-def _built(spark, sf_dir):
+def _built(spark, sf_dir, released=False):
     """Records come as Parquet, the rest as delimited files; then all seven tables are written. The folder, and the check report."""
     out = scratch_path(spark, "lake")
     demographics(spark, sf_dir).write.option("sep", ";").option("header", True).csv(f"{out}/raw/demographics")
@@ -85,6 +85,7 @@ def _built(spark, sf_dir):
         read_csv(spark, f"{out}/raw/demographics", schemas.DEMOGRAPHICS, sep=";"),
         read_csv(spark, f"{out}/raw/airports", schemas.AIRPORTS),
         out,
+        released=released,
     )
     return out, report
 
@@ -116,6 +117,19 @@ def lake_written(spark, sf_dir):
     return rows
 
 
+@query(
+    "lake_released",
+    f"{BASE} SELECT i.cicid, i.i94port, a.name, t.day FROM ({I94_SQL}) i JOIN ({PLACES_SQL}) a ON i.i94port = a.iata_code "
+    f"JOIN ({TABLES['time_table']}) t ON i.dtadfile_date = t.datetime",
+)
+def lake_released(spark, sf_dir):
+    """Records with airport and calendar, all three tables taken from one release of the lake."""
+    seen = read_release(spark, _built(spark, sf_dir, released=True)[0])
+    joined = records_at_airports(seen["i94_table"], seen["airports_table"])
+    days = seen["time_table"].select(F.col("datetime").alias("dtadfile_date"), "day")
+    return joined.join(days, "dtadfile_date").select("cicid", "i94port", "name", "day")
+
+
 @query(
     "lake_built",
     f"{BASE} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM ({sql})" for n, sql in TABLES.items()),

@@ -14,15 +14,16 @@ from tablewright.sources import read_parquet, write_csv, write_table
 from tablewright.storage import scratch_path
 
 
-def _clustered_turns(spark, sf_dir):
+def _clustered_turns(spark, sf_dir, files=None):
     path = scratch_path(spark, "turns")
-    write_table(table(spark, sf_dir, "conversations"), path, cluster_by=["conv_id"], sort_by=["turn"])
+    write_table(table(spark, sf_dir, "conversations"), path, cluster_by=["conv_id"], sort_by=["turn"], files=files, index=["conv_id"])
     return read_parquet(spark, path)
 
 
 @query("lookup_by_key", "SELECT role, text FROM conversations WHERE conv_id=1 AND turn=0")
 def lookup_by_key(spark, sf_dir):
-    return filter_equal(_clustered_turns(spark, sf_dir), conv_id=1, turn=0).select("role", "text")
+    """One row of a table of 120 files."""
+    return filter_equal(_clustered_turns(spark, sf_dir, files=120), conv_id=1, turn=0).select("role", "text")
 
 
 @query("lookup_partition_sorted", "SELECT turn, role, text FROM conversations WHERE conv_id=1 ORDER BY turn")
@@ -30,6 +31,14 @@ def lookup_partition_sorted(spark, sf_dir):
     return filter_equal(_clustered_turns(spark, sf_dir), conv_id=1).orderBy("turn").select("turn", "role", "text")
 
 
+@query("lookup_indexed", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_custkey=10")
+def lookup_indexed(spark, sf_dir):
+    """Files are ranges of days, so each may hold any customer: the index of the customers says which do."""
+    path = scratch_path(spark, "orders")
+    write_table(table(spark, sf_dir, "orders"), path, cluster_by=["o_orderdate"], sort_by=["o_orderkey"], files=120, index=["o_custkey"])
+    return filter_equal(read_parquet(spark, path), o_custkey=10).select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
 @query(
     "lookup_inverted",
     """

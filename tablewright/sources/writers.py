@@ -19,6 +19,9 @@ def write_table(
     mode: str = "overwrite",
     touched_only: bool = False,
     observe: Callable[[DataFrame], DataFrame] | None = None,
+    index: Sequence[str] = (),
+    files: int | None = None,
+    row_group_bytes: int | None = None,
 ) -> None:
     """Write Parquet. Overwriting replaces the whole table, or with ``touched_only`` just the partitions in ``df``.
 
@@ -27,13 +30,17 @@ def write_table(
     folder that holds much of the data over many tasks.
 
     ``cluster_by`` range-partitions by key so that a point read touches few files; ``sort_by`` orders
-    rows within a key. Both are range columns, so a hot key spreads over several files.
+    rows within a key. Both are range columns, so a hot key spreads over several files. ``files`` sets the number of ranges.
+
+    ``index`` names columns that point reads ask for though rows do not lie in their order. Each row group gets a Bloom filter of
+    their values, 64 KB to 1 MB by how many there are, so a read with ``column = value`` skips the row groups without the value. ``row_group_bytes``
+    makes them smaller than Parquet's 128 MB, so that a read that finds its value reads less.
 
     ``observe`` gets the rows as they are written, to attach ``DataFrame.observe`` to them.
     """
     if cluster_by:
         keys = [*partition_by, *cluster_by, *sort_by]
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        df = df.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
         if sort_by:
@@ -42,7 +49,15 @@ def write_table(
         df = df.sortWithinPartitions(*sort_by)
     if observe:
         df = observe(df)
+    if unknown := set(index) - set(df.columns):
+        raise ValueError(f"no columns {sorted(unknown)} to index")
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if touched_only else "static")
+    if index:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for column in index:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,6 +102,28 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
+def create_small(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that readers see whole or not at all; False, and no change, if there is one already."""
+    files, target = _files(spark, f"{path}.{uuid4().hex}.tmp")
+    _, final = _files(spark, path)
+    stream = files.create(target)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    # a file context fails to rename to a name that is taken, also where the file system itself would replace the file
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(target), files.makeQualified(final), none)
+    except Py4JJavaError:
+        files.delete(target, False)
+        if files.exists(final):
+            return False
+        raise
+    return True
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     files, target = _files(spark, path)
     stream = files.open(target)
