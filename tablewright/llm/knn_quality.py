@@ -80,8 +80,7 @@ class Space:
     prior: float
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        unit = _weighted(counts, self.idf) @ self.axes
-        return unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+        return _unit(_weighted(counts, self.idf) @ self.axes)
 
     def score(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
         if not len(self.vectors):
@@ -95,6 +94,10 @@ class Space:
         return np.where(total > 0, np.clip(score, 0.0, 1.0), self.prior)
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+
+
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     rows = np.sqrt(counts / np.maximum(counts[:, :WORD_TERMS].sum(1, keepdims=True), 1)) * idf
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
@@ -147,6 +150,7 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str, key: str = "doc_id", t
     rows = rows.sort_by("k")
     labels = rows.column("y").to_numpy().astype(np.float64)
     matrix = _weighted(np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<f4").reshape(-1, TERMS), idf)
+    del rows
     rank = min(rank, *matrix.shape)
     basis = np.random.default_rng(11).standard_normal((TERMS, min(rank + 16, *matrix.shape))).astype(np.float32)
     for _ in range(5):
@@ -156,12 +160,7 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str, key: str = "doc_id", t
     # classes are sampled alike, so votes give them their share back
     share = {y: total[y] / max(1, int((labels == y).sum())) for y in total}
     votes = np.array([share[y] for y in labels.astype(int)])
-    space = Space(idf, axes, np.zeros((0, rank)), labels, votes, float(total.get(1, 0) / sum(total.values())))
-    return Space(idf, axes, space.project(matrix_counts(rows)), labels, votes, space.prior)
-
-
-def matrix_counts(rows: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<f4").reshape(-1, TERMS)
+    return Space(idf, axes, _unit(matrix @ axes), labels, votes, float(total.get(1, 0) / sum(total.values())))
 
 
 def score(docs: DataFrame, space: Space, text: str = "text", name: str = "score") -> DataFrame:
