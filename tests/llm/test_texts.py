@@ -8,6 +8,7 @@ from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,3 +324,82 @@ def test_secrets_in_odd_rows(spark):
     assert sorted(r.secrets.n_candidates for r in found) == [0, 0, 0, 1]
     with pytest.raises(ValueError):
         secrets.scan(docs.withColumn("secrets", docs.text), forest)
+
+
+def plain_fingerprint(own, terms):
+    """Part by part: the sum of the hashes of the distinct words that a subset holds, in 16 bits."""
+    distinct = {int(secrets.span_hashes(np.frombuffer(w, np.uint8), np.zeros(1, np.int64), np.full(1, len(w)), lower=True)[0]) for w in own}
+    kept = distinct & set(terms.tolist()) or distinct
+    parts = []
+    for seed, limit in zip(imatch._SEEDS.tolist(), imatch._LIMITS.tolist(), strict=True):
+        marks = [int(imatch.mix(np.array([w ^ seed], np.uint64))[0]) for w in sorted(kept)]
+        total = sum(int(imatch.mix(np.array([m + 1], np.uint64))[0]) for m in marks if m < limit) % 2**64
+        parts.append(1 + (total >> 16) % 65535 if total else 0)
+    return parts
+
+
+def plain_likeness(a, b):
+    shares, same, filled = [], 0, 0
+    for s in range(0, len(a), imatch.SUBSETS):
+        pairs = [(x, y) for x, y in zip(a[s : s + imatch.SUBSETS], b[s : s + imatch.SUBSETS], strict=True) if x or y]
+        equal = sum(x == y for x, y in pairs)
+        same, filled = same + equal, filled + len(pairs)
+        if len(pairs) >= 8:
+            shares.append(equal / len(pairs))
+    return 1.0 if not filled else max(shares) if shares else same / filled
+
+
+def test_fingerprints_and_likeness_are_the_plain_ones(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id < 40")
+    texts = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    terms = imatch.lexicon(docs, math.log(1.5), math.log(30))
+    found = {r.doc_id: r for r in imatch.compare_with_next(docs, terms).collect()}
+    assert len(found) == len(texts) > 20
+    marks = [plain_fingerprint(words(t), terms) for _, t in texts]
+    for i, (key, text) in enumerate(texts):
+        after, half = (i + 1) % len(texts), len(text) // 2
+        edited = plain_fingerprint(words(text[: len(text) - half] + texts[after][1][:half]), terms)
+        r = found[key]
+        assert r.fingerprint == "".join(f"{p:04x}" for p in marks[i])
+        assert r.edited_fingerprint == "".join(f"{p:04x}" for p in edited)
+        assert (r.near_edited, r.near_next) == (pytest.approx(plain_likeness(marks[i], edited)), pytest.approx(plain_likeness(marks[i], marks[after])))
+
+
+def test_quality_is_the_plain_vote(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    space = knn_quality.fit(docs, labels, "quality", per_class=40, rank=12)
+    given = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1)}
+    rows = knn_quality.score(docs, space).collect()
+    assert len(space.vectors) <= 80 and len(rows) == docs.count()
+
+    def vector(text):
+        counts = knn_quality.term_counts(pa.array([text], pa.string()))[0].astype(float)
+        weighed = [math.sqrt(c / max(1, counts[: knn_quality.WORD_TERMS].sum())) * i for c, i in zip(counts, space.idf.tolist(), strict=True)]
+        v = np.array(weighed) @ space.axes
+        return v / max(1e-12, math.sqrt((v * v).sum()))
+
+    # a class's votes weigh as often as the class is labelled, not as often as it is sampled
+    number = {y: sum(g == y for g in given.values()) for y in (0, 1)}
+    sampled = {y: int((space.labels == y).sum()) for y in (0, 1)}
+    texts = {r.doc_id for r in docs.collect()}
+    for r in rows[:60]:
+        own = vector(r.text)
+        cosines = [(float(own @ v), y) for v, y in zip(space.vectors, space.labels.astype(int).tolist(), strict=True)]
+        near = sorted(cosines, reverse=True)[: knn_quality.NEIGHBOURS]
+        weight = [(max(c, 0.0) ** knn_quality.SHARPNESS * number[y] / sampled[y], y) for c, y in near]
+        total = sum(w for w, _ in weight)
+        wanted = sum(w for w, y in weight if y) / total if total else space.prior
+        assert r.score == pytest.approx(wanted, abs=1e-4)
+    assert set(given) & texts
+
+
+def test_ties_across_classes_and_clashing_columns(spark):
+    """Equal texts with unlike labels: each says what the share of its labels says."""
+    rows = [(i, "the very same words in every text" if i < 8 else f"quite another number {i} of words ..") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    space = knn_quality.fit(docs, labels, "quality")
+    found = {r.doc_id: r.score for r in knn_quality.score(docs, space).collect()}
+    assert all(found[i] == pytest.approx(0.5) for i in range(8)) and len(found) == 12
+    with pytest.raises(ValueError, match="exists"):
+        knn_quality.score(docs.withColumn("score", docs.text), space)
