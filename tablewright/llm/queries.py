@@ -32,6 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_token_orc")
 def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in an ORC file, and from the file where its ids start, how many they are and their checksum; NULL texts are an end id."""
     path = scratch_path(spark, "token-orc")
     token_orc.write_token_orc(table(spark, sf_dir, "documents"), path)
     return token_orc.token_digest(token_orc.read_token_orc(spark, path))
@@ -62,11 +63,13 @@ def conversation_records(turns: DataFrame) -> DataFrame:
 
 @query("op2_pq_near_duplicates")
 def op2_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector its links, component and whether it is kept; NULL, zero and non-finite vectors link with nothing."""
     return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 @query("op3_secret_forest")
 def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its candidates, the spans accepted as secrets and a digest of the text without them; NULL texts have none and a NULL digest."""
     docs = table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.fit(docs, path="source"), path="source")
     return found.select(
@@ -80,6 +83,7 @@ def op3_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_chat_format")
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation digests of its turns and of the text under the loss mask, read back from the formatted text; NULL texts are empty."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     own = spark.range(2).select(
@@ -103,6 +107,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_imatch")
 def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its fingerprint, the edited text's, and how alike they and the next document's are; NULL texts are empty."""
     docs = table(spark, sf_dir, "documents")
     return imatch.compare_with_next(docs, imatch.lexicon(docs))
 
@@ -113,6 +118,7 @@ def remainder(divisor: int):
 
 @query("op6_knn_quality")
 def op6_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the score of labelled neighbours; NULL and empty texts get the share of good labels, rows without an id are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     space = knn_quality.fit(docs, table(spark, sf_dir, "labels").where(remainder(5) != 0), "quality")
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
@@ -123,11 +129,13 @@ def op6_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_divide_skip_join")
 def op7_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its number of shingles and its component; texts without words link with nothing."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query("op8_suffix_tree")
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its log probability by the unigram base and the suffix tree; NULL texts are an end, rows without an id are training rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model, words = suffix_tree.fit(docs.where(F.coalesce(remainder(7) != 2, F.lit(True))))
     held_out = F.coalesce(remainder(7) == 2, F.lit(False))
@@ -136,11 +144,13 @@ def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_splitting_tree_mix")
 def op9_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its size, its source's size and target, the words taken, and pass, shard and place of each draw; NULL texts have size 0."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece of a document its ids' checksum and its place in a sequence; NULL texts are an end id."""
     cut = stash(packing.pieces(table(spark, sf_dir, "documents")), "packing-pieces")
     return packing.pack(cut, order=("doc_id", "piece", "ids_crc32"))
 

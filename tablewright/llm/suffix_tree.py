@@ -27,7 +27,6 @@ from tablewright.storage import stash
 DEPTH = 3
 #: occurrences in all training texts from which a sequence is listed, at any size; no share of the corpus is asked for
 LEAST = 2
-LEAST_SHARE = 0.0
 DISCOUNT = 0.75
 #: tokens whose sequences are counted before they are shuffled; it never changes a count
 _STRETCH = 1_200_000
