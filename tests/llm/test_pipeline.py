@@ -85,3 +85,20 @@ def test_one_row_of_each_document_and_no_unlike_text_goes(spark):
     for stage, name in ((corpus_pipeline.keep_one_copy, "_row"), (corpus_pipeline.mix_sources, "_time")):
         with pytest.raises(ValueError, match="inside"):
             stage(spark, docs.withColumn(name, F.lit(1)), "")
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, sf_dir):
+    """NULL ids, texts and sources, repeated rows; columns with names that a stage uses inside are an error."""
+    rows = [(None, None, "en", None, None), (None, "", "en", "a", 0), (-1, 'x token = "bc0d31ba76f17e56642e8751295a3fd50cd8e61f" y', None, "a", 54)]
+    rows += 2 * [(-2, "the same row stands here twice", "en", "a", 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    good = corpus_pipeline.keep_good(spark, docs, sf_dir)
+    # no label belongs to these documents, so nothing tells them apart
+    assert good.columns == docs.columns and good.count() in (0, 5)
+    cut = corpus_pipeline.cut_secrets(spark, docs, sf_dir)
+    assert cut.columns == docs.columns and cut.count() == 5
+    assert cut.where("text IS NULL").count() == 1 and cut.where("n_chars IS NULL").count() == 1
+    assert corpus_pipeline.mix_sources(spark, docs, sf_dir).columns == docs.columns
+    for stage, name in ((corpus_pipeline.keep_good, "_score"), (corpus_pipeline.cut_secrets, "_found")):
+        with pytest.raises(ValueError, match="exists"):
+            stage(spark, docs.withColumn(name, F.lit(1)), sf_dir)
