@@ -118,3 +118,21 @@ def test_filters_and_projection(spark):
     assert rows(filter_equal(df, a=1, b="")) == [(1, "")]
     assert project(df, {"id": "a", "two": F.col("a") * 2}).columns == ["id", "two"]
     assert project(df, ["b"]).columns == ["b"]
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_rows_of_a_key_that_multiplies_come_out_side_by_side(spark, tmp_path, salted):
+    """200 plays in a scattered order of a key with 200 matches, beside as many of others: a play's matches repeat in one order, so files stay small."""
+    left = spark.range(4000).select("id", F.concat(F.lit("t"), F.pmod(F.xxhash64("id"), F.lit(20))).alias("t"))
+    right = spark.range(4000).select(F.concat(F.lit("t"), F.pmod(F.xxhash64("id"), F.lit(20))).alias("title"), F.col("id").alias("sid"))
+    hot = hot_keys(left, ["t"], 0.04) if salted else []
+    joined = natural_join(left, right, [("t", "title")], take=["sid"], hot=hot, salts=4, side_by_side=True).select("id", "sid")
+    plain = natural_join(left, right, [("t", "title")], take=["sid"]).select("id", "sid")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    size = {}
+    for name, df in (("sorted", joined), ("plain", plain)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        size[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    assert size["sorted"] < size["plain"] / 2
+    assert spark.read.parquet(str(tmp_path / "sorted")).exceptAll(spark.read.parquet(str(tmp_path / "plain"))).isEmpty()
+    assert joined.count() == plain.count() > 700_000
