@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tablewright import schemas
 from tablewright.operators import check_sql, hot_keys
 from tablewright.plans import PROFILES, build_star, check_star, star, star_tables
+from tablewright.registry.derived import event_log
 from tablewright.sources import ledger, read_json, register_views
 
 ALL = list(schemas.STAR_COLUMNS)
+SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -325,3 +327,20 @@ def test_checks_of_a_load_scan_each_table_once(spark, events, songs, tmp_path):
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == len(ALL)
     assert rows(report) == rows(check_star(spark, str(tmp_path), "rowwise"))
+
+
+def test_different_times_of_matched_plays_need_no_row_per_match(spark, events, songs):
+    """The catalogue five times over: the times stay the same, and the plan keeps plays as they are instead of multiplying them."""
+    many = songs
+    for _ in range(4):
+        many = many.union(songs)
+    whole = star_tables(events, many, "warehouse", only=["songplays", "time"])["time"]
+    alone = star_tables(events, many, "warehouse", only=["time"])["time"]
+    assert rows(alone) == rows(whole) and alone.count() == 6
+    assert "LeftSemi" in alone._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_event_log_joins_orders_with_customers_before_line_items(spark):
+    plan = event_log(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {key: next(line.index("Join") for line in plan if "Join" in line and f"({key}#" in line) for key in ("l_orderkey", "o_custkey")}
+    assert depth["o_custkey"] > depth["l_orderkey"]
