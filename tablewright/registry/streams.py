@@ -156,8 +156,8 @@ def _star(spark, sf_dir):
     songs, logs = scratch_path(spark, "landing-songs"), scratch_path(spark, "landing-logs")
     log = event_log(spark, sf_dir)
     for late in (False, True):
-        catalogue(spark, sf_dir).repartition(2, "song_id").write.mode("append").json(songs)
-        log.where((F.col("sessionId") % 2 == 0) == late).repartition(2, "sessionId").write.mode("append").json(logs)
+        catalogue(spark, sf_dir).repartition("song_id").write.mode("append").json(songs, compression="gzip")
+        log.where((F.col("sessionId") % 2 == 0) == late).write.mode("append").json(logs, compression="gzip")
         star.load(spark, songs, logs)
     return star
 

@@ -53,7 +53,7 @@ class IncrementalStar:
 
     def load(self, spark: SparkSession, songs_dir: str, logs_dir: str, max_files: int = 1000) -> dict[str, list[int]]:
         """Load the files that earlier runs have not, at any depth of the two folders; returns the ids of the batches of each stream."""
-        options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
+        options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.{json,json.gz}"}
         load = partial(incremental_load, spark, max_files=max_files, **options)
         return {
             CATALOGUE: load(songs_dir, schemas.CATALOGUE, f"{self.out}/{CATALOGUE}", dimensions=[self.songs, self.artists]),

@@ -151,3 +151,17 @@ def test_other_profiles_are_refused(tmp_path):
 
 def test_public_names():
     assert all(hasattr(streaming, name) for name in streaming.__all__)
+
+
+def test_star_loads_compressed_files(spark, events, songs, tmp_path):
+    """Files that are compressed, beside others that are not."""
+    folders = {}
+    for name, df in (("songs", songs), ("logs", events)):
+        folders[name] = str(tmp_path / name)
+        df.coalesce(1).write.json(folders[name], compression="gzip")
+    star = IncrementalStar(str(tmp_path / "out"))
+    star.load(spark, folders["songs"], folders["logs"])
+    assert star.read(spark, "songplays").count() == 8
+    events.limit(1).coalesce(1).write.mode("append").json(folders["logs"])
+    star.load(spark, folders["songs"], folders["logs"])
+    assert star.read(spark, "songplays").count() == 9
