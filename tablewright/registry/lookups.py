@@ -90,7 +90,7 @@ def _built(spark, sf_dir, only=tuple(PLAIN)):
     """Plays as a folder of CSV files, then consolidated and loaded into the lookup tables."""
     raw = scratch_path(spark, "event-csv")
     plays = event_log(spark, sf_dir).filter((F.col("page") == "NextSong") & (F.col("userId") != ""))
-    write_csv(plays.select(*[F.col(f.name).cast(f.dataType) for f in schemas.EVENT_CSV.fields]), raw)
+    write_csv(plays.select(*[F.col(f.name).cast(f.dataType) for f in schemas.EVENT_CSV.fields]), raw, compression="gzip")
     return build_lookups(spark, raw, scratch_path(spark, "lookups"), ORDER, only)
 
 

@@ -6,7 +6,7 @@ from conftest import rows
 from tablewright import schemas
 from tablewright.plans import build_lookups, lookup_tables
 from tablewright.plans.lookup_tables import song_of_item, songs_of_session, users_of_song
-from tablewright.sources import read_csv
+from tablewright.sources import read_csv, write_csv
 
 NAMES = schemas.EVENT_CSV.names
 
@@ -82,3 +82,15 @@ def test_the_last_row_of_a_key_stays(spark):
     tables = lookup_tables(events, song_length="float")
     assert rows(tables["song_playlist_session"]) == [("S", 8, "New", "L")]
     assert dict(tables["music_history"].dtypes)["song_length"] == "float"
+
+
+def test_compressed_files_hold_the_same_rows(spark, csv_dir, tmp_path):
+    events = read_csv(spark, csv_dir, schemas.EVENT_CSV)
+    many = events
+    for _ in range(6):
+        many = many.union(many)
+    for name, compression in (("plain", None), ("small", "gzip")):
+        write_csv(many.coalesce(1), str(tmp_path / name), compression=compression)
+    size = {name: sum(f.stat().st_size for f in (tmp_path / name).glob("*.csv*")) for name in ("plain", "small")}
+    assert size["small"] < size["plain"] / 4
+    assert rows(read_csv(spark, str(tmp_path / "small"), schemas.EVENT_CSV)) == rows(many)
