@@ -141,3 +141,34 @@ def test_blank_rows_and_missing_keys_of_a_hot_source(spark):
     rows = mixing.mix(docs, shards=4, block_words=50).collect()
     check_mix(rows, [(r.doc_id, r.source, r.text) for r in docs.collect()], longest_slack=1.0)
     assert len(rows) == 600 and all(r.taken == r.size * len(r.draws) for r in rows)
+
+
+def test_rows_lie_in_the_shards_of_the_tree(spark, sf_dir, docs, empty):
+    """The rows of the plan, in its shards and their order; with odd rows as often as the plan takes them."""
+    many = table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents")
+    found = mixing.mix_rows(many, block_words=512)
+    assert found.columns == many.columns
+    wanted = mixing.mixed(many, mixing.mix(many, block_words=512))
+    assert [r.doc_id for r in found.select("doc_id").collect()] == [r.doc_id for r in wanted.select("doc_id").collect()]
+
+    plan = mixing.mix(docs, shards=3, block_words=20).collect()
+    times: dict = {}
+    for r in plan:
+        times[r.source, r.doc_id] = max(times.get((r.source, r.doc_id), 0), len(r.draws))
+    rows = sorted(repr(r) for r in docs.collect() for _ in range(times[r.source, r.doc_id]))
+    assert sorted(map(repr, mixing.mix_rows(docs, shards=3, block_words=20).collect())) == rows
+    assert mixing.mix_rows(empty).count() == 0
+    with pytest.raises(ValueError, match="inside"):
+        mixing.mix_rows(docs.withColumn("_block", F.lit(1)))
+
+
+def test_pipeline_mixes_by_the_tree(spark, sf_dir, monkeypatch):
+    import corpus_pipeline
+
+    trees = []
+    split = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda *a: trees.append(a) or split(*a))
+    docs = table(spark, sf_dir, "documents")
+    assert corpus_pipeline.mix_sources(spark, docs, sf_dir).count() == sum(len(r.draws) for r in mixing.mix(docs).collect())
+    # once for the stage, once for the plan above
+    assert len(trees) == 2
