@@ -344,3 +344,18 @@ def test_event_log_joins_orders_with_customers_before_line_items(spark):
     plan = event_log(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     depth = {key: next(line.index("Join") for line in plan if "Join" in line and f"({key}#" in line) for key in ("l_orderkey", "o_custkey")}
     assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_a_retried_load_does_not_derive_its_rows_again(spark, monkeypatch):
+    from importlib import import_module
+
+    registry, plans = import_module("tablewright.registry.star"), []
+    build = registry.build_star
+
+    def seen(spark, rows, *rest, **options):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return build(spark, rows, *rest, **options)
+
+    monkeypatch.setattr(registry, "build_star", seen)
+    assert import_module("tablewright.registry").QUERIES["star_rowwise_reloaded"](spark, SF_DIR).count() > 0
+    assert len(plans) == 4 and not any("Join" in plan for plan in plans)
