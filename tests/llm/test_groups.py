@@ -66,6 +66,37 @@ def test_groups_of_edited_copies_lose_no_link(spark):
     agree(ngram_join.near_duplicates(docs), docs)
 
 
+def test_copies_with_different_edits_are_told_apart_before_they_are_probed(spark, monkeypatch):
+    """Two edits in each copy leave 70 % of the shingles shared, so many short lists meet though few pairs are alike."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(80):
+        own = [f"w{k}" for k in range(120)]
+        for k in rng.sample(range(4, 116), 2):
+            own[k] = f"e{i}_{k}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    probed = []
+    probe = ngram_join._probe
+    monkeypatch.setattr(ngram_join, "_probe", lambda pairs, *rest: probed.append(pairs.count()) or probe(pairs, *rest))
+    agree(ngram_join.near_duplicates(docs), docs)
+    sets = [shingle_set(text) for _, text in rows]
+    alike = sum(100 * len(a & b) >= 74 * len(a | b) for a, b in itertools.combinations(sets, 2))
+    assert probed[1] <= alike
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets(spark):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (0, 1, 40, 3000)]
+    sets += [np.unique(np.concatenate([sets[2], sets[3][::430]])), sets[3][5:]]
+    marks = np.stack(ngram_join._parities(sets), 1)
+    assert marks.shape == (len(sets), ngram_join.BITS // 64)
+    for (a, x), (b, y) in itertools.combinations(zip(sets, marks, strict=True), 2):
+        apart = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+    assert sum(int(v).bit_count() for v in (marks[2] ^ marks[4]).view(np.uint64)) >= 5
+
+
 def test_a_text_and_its_extension_link_beside_a_shorter_copy(spark):
     """80 of 100 shingles shared, while a copy of 70 heads their lists and links with the shorter one only."""
     rows = []
