@@ -115,3 +115,8 @@ def test_build_and_query(spark, sources, tmp_path):
     assert records_at_airports(written["i94_table"], written["airports_table"]).count() == 3
     # a row per race of the state
     assert records_in_states(written["i94_table"], written["states_table"]).count() == 6
+
+
+def test_dates_of_the_calendar_are_parsed_once_per_text(sources):
+    text = lake_tables(*sources)["time_table"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [dtadfile" in text
