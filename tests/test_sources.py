@@ -22,6 +22,7 @@ from tablewright.sources import (
     write_csv,
     write_table,
 )
+from tablewright.storage import list_files, stash
 
 
 def test_json_by_glob_and_recursive_are_the_same(spark, song_dir, log_dir):
@@ -253,3 +254,15 @@ def test_texts_split_by_their_types(spark):
     assert rows(good) == [(None, None), (1, date(2020, 1, 1))]
     assert [tuple(r) for r in rejects.collect()] == [("one", "2020-13-01", "y", ["id: no bigint", "day: no date"])]
     assert split_typed(texts.limit(0), schema)[1].count() == 0
+
+
+def test_stashed_tables_are_compressed_whatever_the_session_says(spark, tmp_path):
+    name = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "snappy")
+    try:
+        assert stash(spark.range(5), "numbers", str(tmp_path / "numbers")).count() == 5
+    finally:
+        spark.conf.set(name, before)
+    files = list_files(spark, str(tmp_path / "numbers"))
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
