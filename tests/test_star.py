@@ -203,6 +203,24 @@ def test_lake_is_partitioned(spark, events, songs, tmp_path):
     assert sorted(p.name for p in (tmp_path / "songs").glob("year=*")) == ["year=0", "year=1999"]
 
 
+def test_fact_of_lake_is_written_as_the_join_gives_it(spark, events, songs, tmp_path):
+    """Rows of the fact are neither shuffled nor sorted, plays without a time or with repeated songs included."""
+    undated = events.where("song = 'Song 1'").withColumn("ts", F.lit(None).cast("long"))
+    log, many = events.union(undated), songs.union(songs)
+    dated, rest = star.fact_by_month(log, many, PROFILES["lake"])
+    want = rows(star_tables(log, many, "lake", only=["songplays"])["songplays"].drop("songplay_id"))
+    assert rows(dated.union(rest).drop("songplay_id")) == want
+    assert rest.count() > 0 and rest.where("start_time IS NOT NULL").isEmpty()
+    plan = dated.sortWithinPartitions("year", "month")._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "Sort " not in above and "Exchange" not in above
+    report = build_star(spark, log, many, str(tmp_path), "lake").where("table_name = 'songplays'")
+    written = spark.read.parquet(str(tmp_path / "songplays"))
+    assert rows(written.select(*dated.columns).drop("songplay_id")) == want
+    assert written.select("songplay_id").distinct().count() == len(want)
+    assert {r.check_name: r.detail for r in report.collect()}["non_empty"] == f"{len(want)} rows"
+
+
 def test_checks_of_written_tables(spark, events, songs, tmp_path):
     build_star(spark, events, songs, str(tmp_path), "scheduled")
     report = {(r.table_name, r.check_name): r.passed for r in check_star(spark, str(tmp_path), "scheduled", limits=True).collect()}
