@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tablewright.llm import packing, token_orc
+from tablewright.llm import packing, token_orc, tokens
 from tablewright.llm.hashing import shingles, text_bytes, word_hashes
 from tablewright.llm.queries import QUERIES, table
 from tablewright.llm.tokens import Encoder, default_tokenizer
@@ -134,3 +134,22 @@ def test_queries_cover_every_token(spark, sf_dir, name):
     else:
         assert sum(r.length for r in rows) == sum(map(len, ids.values()))
         check_packing(rows, 1024)
+
+
+def test_a_call_of_the_tokenizer_takes_few_bytes(monkeypatch):
+    """However many segments are new, and the ids stay those of whole texts."""
+    encode_texts = tokens.Encoder(tokens.default_tokenizer())
+    library, calls = encode_texts._tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            calls.append([len(t.encode()) for t in texts])
+            return library.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    monkeypatch.setattr(encode_texts, "_tokenizer", Watched())
+    texts = [" ".join(f"w{i}é{k}" for i in range(4000)) + "  " * k + "x" * 50_000 * k for k in range(8)]
+    ids, bounds = encode_texts.encode(*text_bytes(pa.array(texts)))
+    for k, text in enumerate(texts):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+    assert sum(map(sum, calls)) > 2 * tokens.CALL_BYTES
+    assert all(sum(sizes) <= tokens.CALL_BYTES or len(sizes) == 1 for sizes in calls)
