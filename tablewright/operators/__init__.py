@@ -11,7 +11,7 @@ from tablewright.operators.dimensions import (
 )
 from tablewright.operators.filters import concat_rows, filter_equal, filter_filled, filter_not_null, project
 from tablewright.operators.joins import hot_keys, lookup_one, natural_join
-from tablewright.operators.keys import monotonic_key, sequence_key
+from tablewright.operators.keys import monotonic_key, running_starts, sequence_key
 from tablewright.operators.lookups import (
     music_history,
     song_playlist_session,
@@ -33,7 +33,7 @@ from tablewright.operators.quality import (
     table_faults,
 )
 from tablewright.operators.rejects import cast_faults, split_typed
-from tablewright.operators.rollup import roll_up, row_counts
+from tablewright.operators.rollup import numbered_counts, roll_up, row_counts
 
 __all__ = [
     "calendar",
@@ -60,6 +60,7 @@ __all__ = [
     "monotonic_key",
     "music_history",
     "natural_join",
+    "numbered_counts",
     "observe_faults",
     "observed_checks",
     "project",
@@ -67,6 +68,7 @@ __all__ = [
     "roll_up",
     "row_counts",
     "run_checks",
+    "running_starts",
     "sequence_key",
     "song_playlist_session",
     "split_typed",

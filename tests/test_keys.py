@@ -58,3 +58,27 @@ def test_numbers_do_not_change_when_read_again(spark):
 def test_monotonic_ids_are_unique(spark):
     df = monotonic_key(spark.range(0, 1000, 1, 5).toDF("v"), "id")
     assert df.select("id").distinct().count() == 1000
+
+
+def test_running_starts_add_up_the_rows_before(spark):
+    from tablewright.operators import running_starts
+
+    df = spark.range(0, 500, 1, 7).select((F.col("id") % 97).alias("k"), (F.col("id") % 5).alias("w"), "id")
+    df = df.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    found = running_starts(df, {"all": F.col("w"), "alone": F.when(~F.col("same_before"), 1).otherwise(0)}, ["k"])
+    got = sorted(found.collect(), key=lambda r: (r.k is not None, r.k or 0, r.all, r.alone))
+    before = seen = 0
+    for i, row in enumerate(got):
+        assert row.alone == seen
+        assert row.same_before == (i > 0 and got[i - 1].k == row.k) and row.same_after == (i + 1 < len(got) and got[i + 1].k == row.k)
+        seen += not row.same_before
+    # in one order of the rows within a key, each starts where the one before ends
+    assert sorted(r.all for r in got)[-1] <= sum(r.w for r in got)
+    for k in {r.k for r in got}:
+        own = [r for r in got if r.k == k]
+        assert min(r.all for r in own) == before if k is None else True
+        ends = {r.all + r.w for r in own}
+        assert {r.all for r in own} - {min(r.all for r in own)} <= ends
+    starts = {min(r.all for r in got if r.k == k): sum(r.w for r in got if r.k == k) for k in {r.k for r in got}}
+    for start, size in starts.items():
+        assert start + size in {*starts, sum(r.w for r in got)}

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tablewright.operators import (
     check_key,
@@ -87,3 +88,28 @@ def test_report_of_written_tables(spark, df, tmp_path):
         ("bad", "length(v<=4)"): True,
     }
     raise_on_failure(report.filter("table_name = 'good'"))
+
+
+@pytest.mark.parametrize("extra", ["", "SELECT 5L, 'other'", "SELECT 5L, 'a5'", "SELECT NULL, 'x'", "SELECT NULL, 'x' UNION ALL SELECT NULL, 'y' UNION ALL SELECT -9223372036854775808L, 'z'"])
+def test_numbered_counts_are_row_counts(spark, extra):
+    from tablewright.operators import numbered_counts, row_counts
+
+    df = spark.range(-300, 5000, 1, 3).select(F.col("id").alias("k"), F.concat(F.lit("a"), "id").alias("v")).where("k % 7 <> 3")
+    if extra:
+        df = df.unionAll(spark.sql(extra))
+    found = numbered_counts(df, "k")
+    assert found.columns == ["n", "n_distinct", "n_repeated"]
+    assert found.collect() == row_counts(df, ["k"]).select(*found.columns).collect()
+    assert numbered_counts(df.withColumn("k", F.col("k").cast("int")), "k").collect() == row_counts(df.withColumn("k", F.col("k").cast("int")), ["k"]).select(*found.columns).collect()
+
+
+def test_checks_of_many_numbered_rows_shuffle_blocks_of_keys(spark, tmp_path):
+    from tablewright.operators import quality
+
+    spark.range(0, 1000, 1, 2).selectExpr("id AS k", "'x' AS v").write.parquet(str(tmp_path / "t"))
+    options = {"tables": ["t"], "keys": {"t": ["k"]}}
+    few = quality.run_checks(spark, str(tmp_path), counts={"t": {"n": 1000}}, **options)
+    many = quality.run_checks(spark, str(tmp_path), counts={"t": {"n": quality.NUMBERED_ROWS}}, **options)
+    assert [r.detail for r in few.collect()][1:] == [r.detail for r in many.collect()][1:] == ["1000 rows, 1000 distinct", "0 repeated keys"]
+    assert "bit_or" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" not in few._jdf.queryExecution().optimizedPlan().toString()

@@ -6,6 +6,7 @@ from hashlib import md5
 
 import pytest
 from conftest import EVENTS, rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewright import schemas
@@ -377,3 +378,91 @@ def test_a_retried_load_does_not_derive_its_rows_again(spark, monkeypatch):
     monkeypatch.setattr(registry, "build_star", seen)
     assert import_module("tablewright.registry").QUERIES["star_rowwise_reloaded"](spark, SF_DIR).count() > 0
     assert len(plans) == 4 and not any("Join" in plan for plan in plans)
+
+
+def many_matches(events, songs):
+    """Plays of every title many times over, equal ones, ones in one second, without a time, and without a title; songs twice over."""
+    twin = events.where("song = 'Twin'")
+    later = twin.withColumn("after", F.explode(F.sequence(F.lit(1000), F.lit(20000), F.lit(1000)))).withColumn("ts", F.col("ts") + F.col("after")).drop("after")
+    log = events.unionAll(twin).unionAll(later).unionAll(events.withColumn("location", F.lit("Else")))
+    log = log.unionAll(events.withColumn("ts", F.lit(None).cast("long"))).unionAll(events.withColumn("song", F.lit(None).cast("string")))
+    return log, songs.unionAll(songs).unionAll(songs.withColumn("song_id", F.concat(F.lit("X"), "song_id")))
+
+
+def numbered_by_a_window(log, songs):
+    """The fact numbered by one window over all rows."""
+    plain = star_tables(log, songs, "warehouse", only=["songplays"])["songplays"].drop("songplay_id")
+    return plain.withColumn("songplay_id", F.row_number().over(Window.orderBy(*star.FACT_ORDER)) - 1)
+
+
+def test_fact_in_order_sorts_plays_not_rows(spark, events, songs):
+    log, many = many_matches(events, songs)
+    numbered = star_tables(log, many, "warehouse", only=["songplays"], number_in_order=True)["songplays"]
+    want = numbered_by_a_window(log, many)
+    assert rows(numbered) == rows(want.select(*numbered.columns)) and numbered.count() > 100
+    later = star_tables(log, many, "warehouse", only=["songplays"], number_in_order=True, key_start=7)["songplays"]
+    assert rows(later.select("songplay_id")) == rows(want.select(F.col("songplay_id") + 7))
+    # no play shares its place: rows come from the join as they are
+    apart = star._fact_in_order(star._slim(star._typed_events(events, PROFILES["warehouse"])), songs, PROFILES["warehouse"], 0)
+    plan = apart._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and apart.count() == 8
+
+
+@pytest.mark.parametrize("share", [200_000, 3])
+def test_fact_of_warehouse_is_numbered_song_by_song(spark, events, songs, tmp_path, monkeypatch, share):
+    """Rows of the fact are neither shuffled nor sorted; those of a song lie and are numbered in a row, by time."""
+    monkeypatch.setattr(star, "SHARE_PLAYS", share)
+    log, many = many_matches(events, songs)
+    fact, multiplied = star.fact_by_song(log, many, PROFILES["warehouse"])
+    assert multiplied and not star.fact_by_song(events, songs, PROFILES["warehouse"])[1]
+    want = rows(star_tables(log, many, "warehouse", only=["songplays"])["songplays"].drop("songplay_id"))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "Sort " not in above and "Exchange" not in above
+    report = build_star(spark, log, many, str(tmp_path), "warehouse").where("table_name = 'songplays'")
+    written = spark.read.parquet(str(tmp_path / "songplays"))
+    assert rows(written.drop("songplay_id").select(*schemas.STAR_COLUMNS["songplays"][1:])) == rows(fact.drop("songplay_id")) == want
+    assert sorted(r[0] for r in written.select("songplay_id").collect()) == list(range(len(want)))
+    assert {r.check_name: r.passed for r in report.collect()}["unique_key(songplay_id)"]
+    if share > 3:
+        lies = written.where("song_id = 'XS4'").select("songplay_id", "start_time").orderBy("songplay_id").collect()
+        assert [r.songplay_id for r in lies] == list(range(lies[0].songplay_id, lies[0].songplay_id + len(lies))) and len(lies) > 20
+        times = [str(r.start_time or "") for r in lies]
+        assert times == sorted(times)
+
+
+def test_multiplied_fact_is_read_by_song_without_its_other_rows(spark, events, songs, tmp_path):
+    """What the join gives is written in less than a byte a row for its numbers, and a read of one song skips the pages of others."""
+    plays = spark.range(0, 60, 1, 4).select(F.col("id").alias("n"))
+    log = events.where("song = 'Song 1' AND userId = '8'").crossJoin(plays).withColumn("ts", F.col("ts") + F.col("n") * 60_000).drop("n")
+    many = songs.where("song_id = 'S1'").crossJoin(spark.range(0, 4000, 1, 4)).withColumn("song_id", F.concat(F.lit("S"), "id")).drop("id")
+    build_star(spark, log, many, str(tmp_path), "warehouse")
+    path = str(tmp_path / "songplays")
+    table = spark.read.parquet(path)
+    assert table.count() == 240_000
+    assert sum(f.stat().st_size for f in (tmp_path / "songplays").glob("*.parquet")) < 240_000
+    one = table.where("song_id = 'S77'")
+    assert one.count() == 60
+    found = one.select("songplay_id")
+    found.collect()
+
+    def scanned(node):
+        metrics = node.metrics()
+        return (metrics.apply("numOutputRows").value() if metrics.contains("numOutputRows") and "Scan" in node.nodeName() else 0) + sum(
+            scanned(node.children().apply(i)) for i in range(node.children().size())
+        )
+
+    plan = found._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    assert 60 <= scanned(plan) < 60_000
+
+
+def test_second_load_of_a_warehouse_goes_on_with_multiplied_rows(spark, events, songs, tmp_path):
+    log, many = many_matches(events, songs)
+    for part in (log.where("sessionId < 183"), log.where("sessionId >= 183")):
+        for _ in range(2):
+            build_star(spark, part, many, str(tmp_path), "warehouse", fresh=False)
+    written = spark.read.parquet(str(tmp_path / "songplays"))
+    want = rows(star_tables(log, many, "warehouse", only=["songplays"])["songplays"].drop("songplay_id"))
+    assert rows(written.select(*schemas.STAR_COLUMNS["songplays"][1:])) == want
+    assert sorted(r[0] for r in written.select("songplay_id").collect()) == list(range(len(want)))
