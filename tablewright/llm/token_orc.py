@@ -1,7 +1,7 @@
 """Token ids as ORC files (operator 1).
 
 A row holds one document: its key, its ids as ``array<int>`` (ORC writes them run-length encoded) and where they
-start among the ids of its part. Parts are ranges of the key; rows ascend within a part, so a stripe's
+start and end among the ids of its part. Parts are ranges of the key; rows ascend within a part, so a stripe's
 minimum and maximum and the Bloom filter on the key decide whether a reader opens it. Readers split files by
 stripe. The parts' sizes (one row per part) turn starts within a part into starts in the whole corpus.
 """
@@ -42,7 +42,10 @@ def write_token_orc(
     """
     tokenizer = tokenizer or default_tokenizer()
     schema = StructType(
-        [StructField(key, docs.schema[key].dataType), StructField("part", IntegerType()), StructField("part_start", LongType()), StructField("ids", ArrayType(IntegerType(), False))]
+        [
+            StructField(key, docs.schema[key].dataType), StructField("part", IntegerType()), StructField("part_start", LongType()), StructField("part_end", LongType()),
+            StructField("ids", ArrayType(IntegerType(), False)),
+        ]
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +54,7 @@ def write_token_orc(
             ids, bounds = encode_texts.encode(*text_bytes(batch.column(text)))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.repeat(pa.scalar(part, pa.int32()), len(lists)), pa.array(done + bounds[:-1]), lists],
+                [batch.column(key), pa.repeat(pa.scalar(part, pa.int32()), len(lists)), pa.array(done + bounds[:-1]), pa.array(done + bounds[1:]), lists],
                 names=schema.names,
             )
             done += int(bounds[-1])
@@ -92,8 +95,8 @@ def token_digest(rows: DataFrame, key: str = "doc_id") -> DataFrame:
             )
 
     found = rows.select(key, "part", "part_start", "ids").mapInArrow(digest, schema)
-    # one row per part
-    sizes = rows.groupBy("part").agg(F.max(F.col("part_start") + F.size("ids")).alias("part_size"))
+    # one row per part; the ids are not read again for it
+    sizes = rows.groupBy("part").agg(F.max("part_end").alias("part_size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("part_base"))
     return found.join(F.broadcast(sizes), "part").select(

@@ -153,3 +153,25 @@ def test_a_call_of_the_tokenizer_takes_few_bytes(monkeypatch):
         assert ids[bounds[k] : bounds[k + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
     assert sum(map(sum, calls)) > 2 * tokens.CALL_BYTES
     assert all(sum(sizes) <= tokens.CALL_BYTES or len(sizes) == 1 for sizes in calls)
+
+
+def test_starts_are_found_without_reading_the_ids_again(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"a{i} b c" * (i % 5)) for i in range(200)], "doc_id long, text string").repartition(4)
+    token_orc.write_token_orc(docs, str(tmp_path / "t"))
+    found = token_orc.token_digest(token_orc.read_token_orc(spark, str(tmp_path / "t")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line[line.index("ReadSchema") :] for line in plan.splitlines() if "ReadSchema" in line]
+    assert [("ids" in scan) for scan in scans].count(True) == 1 and len(scans) == 2
+    want = [len(ids) for ids in whole([r.text for r in docs.orderBy("doc_id").collect()])]
+    rows = found.orderBy("doc_id").collect()
+    assert [r.n_tokens for r in rows] == want and [r.start for r in rows] == [0, *np.cumsum(want)[:-1].tolist()]
+
+
+def test_new_segments_are_put_between_the_known_ones():
+    encoder = Encoder(default_tokenizer())
+    for i in range(6):
+        texts = [f"w{j * 7919 % 1000 + i * 300} x{j % 3 + i}  y\n" for j in range(500)]
+        ids, bounds = encoder.encode(*text_bytes(pa.array(texts)))
+        assert [ids[s:e].tolist() for s, e in zip(bounds[:-1], bounds[1:], strict=True)] == whole(texts)
+        assert (encoder._keys[1:] > encoder._keys[:-1]).all()
+        assert len(encoder._at) == len(encoder._size) == len(encoder._keys)
