@@ -157,6 +157,39 @@ def test_suffix_tree_leaves_sequences_to_the_executors(spark, docs, monkeypatch)
     assert scored.count() == docs.count()
 
 
+def drawn_texts(many, length):
+    """Texts of words drawn unevenly, so that some sequences are common, and a line that stands in each."""
+    rng = np.random.default_rng(8)
+    return [" ".join([*(f"w{w}" for w in rng.zipf(1.3, length) % 5000), "one line for all of them"]) for _ in range(many)]
+
+
+@pytest.mark.parametrize(("common", "crowd"), [(1 << 20, 40), (20, 1 << 20), (7, 25), (0, 30)])
+def test_suffix_tree_with_few_ranks_and_small_places(spark, monkeypatch, common, crowd):
+    """Words without a rank, words dealt over many places, and the training texts apart from or among the scored ones."""
+    monkeypatch.setattr(suffix_tree, "COMMON", common)
+    monkeypatch.setattr(suffix_tree, "CROWD", crowd)
+    monkeypatch.setattr(suffix_tree, "_STRETCH", 300)
+    texts = [*drawn_texts(40, 30), None, "", "never seen"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    trained = F.col("doc_id") % 4 != 0
+    model, counts = suffix_tree.fit(docs.where(trained))
+    wanted = sorted(brute_scores([t for i, t in enumerate(texts) if i % 4], texts, suffix_tree.DEPTH, 0.0))
+    for option in ({}, {"trained": trained}):
+        got = suffix_tree.score(docs, model, counts, **option).collect()
+        got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got)
+        assert np.allclose(got, wanted, atol=1e-9)
+
+
+def test_suffix_tree_shuffles_no_sequence_on_its_own(spark):
+    """A few bytes a token in some rows a task; counted and looked up one by one they were eight rows a token."""
+    texts = [(i, t, 3) for i, t in enumerate(drawn_texts(400, 250))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, use int").coalesce(2)
+    model, counts = suffix_tree.fit(docs)
+    common, _ = suffix_tree._common_words(counts, model)
+    sent = suffix_tree._windows(docs, "doc_id", common, model.total).agg(F.count("*").alias("rows"), F.sum(F.length("blob")).alias("bytes")).first()
+    assert sent["rows"] < model.tokens / 20 and sent["bytes"] < 10 * model.tokens
+
+
 def test_suffix_tree_beats_the_base_on_held_out_texts(spark, sf_dir):
     rows = [r for r in QUERIES["op8_suffix_tree"](spark, sf_dir).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
