@@ -113,3 +113,13 @@ def test_checks_of_many_numbered_rows_shuffle_blocks_of_keys(spark, tmp_path):
     assert [r.detail for r in few.collect()][1:] == [r.detail for r in many.collect()][1:] == ["1000 rows, 1000 distinct", "0 repeated keys"]
     assert "bit_or" in many._jdf.queryExecution().optimizedPlan().toString()
     assert "bit_or" not in few._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_checks_of_different_numbers_read_the_numbers_only(spark, tmp_path):
+    """A join with the blocks of repeated keys shuffled all rows, though there were none."""
+    from tablewright.operators import numbered_counts
+
+    spark.range(0, 1000, 1, 2).selectExpr("id AS k", "'x' AS v").write.parquet(str(tmp_path / "t"))
+    found = numbered_counts(spark.read.parquet(str(tmp_path / "t")), "k")
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.collect() == [(1000, 1000, 0)]
