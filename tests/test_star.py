@@ -466,3 +466,22 @@ def test_second_load_of_a_warehouse_goes_on_with_multiplied_rows(spark, events,
     want = rows(star_tables(log, many, "warehouse", only=["songplays"])["songplays"].drop("songplay_id"))
     assert rows(written.select(*schemas.STAR_COLUMNS["songplays"][1:])) == want
     assert sorted(r[0] for r in written.select("songplay_id").collect()) == list(range(len(want)))
+
+
+def test_calendar_of_a_multiplied_fact_is_taken_from_its_plays(spark, events, songs, tmp_path, monkeypatch):
+    """The times were read back from the fact, which holds many rows a play."""
+    log, many = many_matches(events, songs)
+    sources = []
+
+    def noted(source, *options):
+        sources.append(source._jdf.queryExecution().optimizedPlan().toString())
+        return calendar(source, *options)
+
+    calendar = star.calendar
+    monkeypatch.setattr(star, "calendar", noted)
+    out = str(tmp_path / "star")
+    star.build_star(spark, log, many, out, "warehouse")
+    assert len(sources) == 1 and "LeftSemi" in sources[0]
+    times = spark.read.parquet(f"{out}/songplays").select("start_time").distinct()
+    # the calendar has no row for plays without a time
+    assert rows(times.dropna()) == rows(spark.read.parquet(f"{out}/time").select("start_time").dropna()) and times.count() > 2
