@@ -271,7 +271,7 @@ def _side_pairs(train: DataFrame, text: str, model: Model, words: DataFrame, rar
             order = np.lexsort((d, c, home))
             home, c, d, n = home[order], c[order], d[order], n[order]
             new = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else np.zeros(0, np.int64)
-            blobs = [_squeeze(c[i:j], d[i:j], n[i:j].view(np.uint64)) for i, j in zip(new, np.append(new[1:], len(home)), strict=True)]
+            blobs = [_squeeze(c[i:j], d[i:j], n[i:j].view(np.uint64)) for i, j in zip(new, np.append(new, len(home))[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(home[new]), pa.array(blobs, pa.binary())], names=["home", "blob"])
 
     def add_up(key: tuple, table: pa.Table) -> pa.Table:
